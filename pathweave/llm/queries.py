@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from .common import read, small_batches
 
 
+def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import bpe as op
+
+    small_batches(spark)
+    coded = op.decode(op.encode(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids"))
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash_dedup as op
 
@@ -17,7 +30,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op10_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op4_bpe_roundtrip, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
