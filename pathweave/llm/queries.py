@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, small_batches
+from .common import held_out, read, small_batches
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid as op
+
+    small_batches(spark)
+    docs = read(spark, sf_dir, "documents")
+    found = op.predict(docs.select("doc_id", "text"), op.fit(docs.select("doc_id", "text", "lang")))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +30,15 @@ def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity as op
+
+    small_batches(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = op.predict(docs, op.fit(docs, read(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash_dedup as op
 
@@ -30,7 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_bpe_roundtrip, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op4_bpe_roundtrip, op7_toxicity, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
