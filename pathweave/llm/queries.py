@@ -39,6 +39,55 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import chat as op
+
+    said = r"r'\### Assistant: </turn> ok'"
+    extra = spark.sql(f"select -7L conv_id, 0L turn, 'user' role, {said} text union all select -7L, 1L, 'assistant', {said}")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    chats = op.format_chats(rows)
+    turns = op.read_turns(F.col("formatted"))
+    read_back = chats.select("conv_id", "formatted", turns.alias("turns"), op.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read_back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP8_SQL = r"""
+with r as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (
+  select *, replace(replace(replace(text, '\', '\b'), '###', '\h'), '</', '\l') as body,
+    replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</', '\l'), ':', '\c') as name,
+    lag(role) over w as before
+  from r window w as (partition by conv_id order by turn, role, text)),
+b as (
+  select *, length(body) + case when before is null then length(name) + 6 when before <> role then length(name) + 14 else 7 end as chars
+  from e)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) + 8 as bigint) as formatted_chars
+from b group by conv_id
+"""
+
+
+def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import syncmers as op
+
+    small_batches(spark)
+    return op.edited_likeness(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash_dedup as op
 
@@ -48,8 +97,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_language_id, op4_bpe_roundtrip, op7_toxicity, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op4_bpe_roundtrip, op7_toxicity, op8_chat_format, op9_syncmer_fingerprints, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_format": OP8_SQL}
