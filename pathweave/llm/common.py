@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,11 +65,12 @@ def global_rank(df: DataFrame, keys: list[Column], parts: int | None = None) ->
     sizes = placed.groupBy(part.alias("__p")).agg(F.count("*").alias("n")).collect()
     offset, starts = 0, []
     for r in sorted(sizes):
-        starts.append((r["__p"], offset))
+        starts.append({"p": r["__p"], "o": offset})
         offset += r["n"]
-    table = spark.createDataFrame(starts, "__p long, __o long")  # one row a partition
-    out = placed.withColumn("__p", part).join(F.broadcast(table), "__p")
-    return out.withColumn("rank", F.col("__o") + at).drop("__p", "__o", "__m")
+    # one row a partition
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(starts)), "array<struct<p: bigint, o: bigint>>")))
+    out = placed.withColumn("__p", part).join(F.broadcast(table), F.col("__p") == F.col("p"))
+    return out.withColumn("rank", F.col("o") + at).drop("__p", "__m", "p", "o")
 
 
 def components(edges: DataFrame) -> DataFrame:

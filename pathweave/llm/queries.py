@@ -30,6 +30,29 @@ def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import hilbert_shards as op
+
+    text = F.coalesce("text", F.lit(""))
+    size = (F.octet_length(text) + 1).cast("long")
+    docs = read(spark, sf_dir, "documents").select("doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), "source", "lang", F.log2(size).alias("log_size"))
+    found = op.shards(docs, ["source", "lang", "log_size"], ["text_crc32", "doc_id"])
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing as op
+
+    planned = op.plan(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return planned.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.col("mix_copies")).cast("long").alias("taken"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity as op
 
@@ -97,7 +120,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_language_id, op4_bpe_roundtrip, op7_toxicity, op8_chat_format, op9_syncmer_fingerprints, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op4_bpe_roundtrip, op5_hilbert_sharding, op6_source_mixing, op7_toxicity, op8_chat_format, op9_syncmer_fingerprints, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
