@@ -17,6 +17,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import collision_ann as op
+
+    return op.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe as op
 
@@ -120,7 +126,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_language_id, op4_bpe_roundtrip, op5_hilbert_sharding, op6_source_mixing, op7_toxicity, op8_chat_format, op9_syncmer_fingerprints, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op3_collision_ann, op4_bpe_roundtrip, op5_hilbert_sharding, op6_source_mixing, op7_toxicity, op8_chat_format, op9_syncmer_fingerprints, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
