@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from .common import held_out, read, small_batches
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_dedup as op
+
+    found = op.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", "lines_in", "lines_dropped")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import langid as op
 
@@ -126,7 +133,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_language_id, op3_collision_ann, op4_bpe_roundtrip, op5_hilbert_sharding, op6_source_mixing, op7_toxicity, op8_chat_format, op9_syncmer_fingerprints, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_collision_ann, op4_bpe_roundtrip, op5_hilbert_sharding, op6_source_mixing, op7_toxicity, op8_chat_format, op9_syncmer_fingerprints, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

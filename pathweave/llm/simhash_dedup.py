@@ -88,20 +88,21 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def long_run(fps: np.ndarray, radius: int) -> np.ndarray:
-    """roots() of one cell with many fingerprints, in memory that grows with their number only."""
+def long_run(fps: np.ndarray, radius: int, tile: int = 2048) -> np.ndarray:
+    """roots() of one cell with many fingerprints, tile by tile, so in bounded memory."""
     label = np.arange(len(fps))
-    for i in range(len(fps) - 1):
-        near = i + 1 + np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius)
-        own = np.unique(label[near])
-        if len(own) and (len(own) > 1 or own[0] != label[i]):
-            own = np.append(own, label[i])
-            label[np.isin(label, own)] = own.min()
+    for top in range(0, len(fps), tile):
+        for left in range(top, len(fps), tile):
+            i, j = np.nonzero(np.bitwise_count(fps[top : top + tile, None] ^ fps[None, left : left + tile]) <= radius)
+            i, j = i + top, j + left
+            new = label[i] != label[j]
+            if new.any():
+                label = roots(len(fps), np.append(i[new], np.arange(len(fps))), np.append(j[new], label))
     return label
 
 
 def linked(keys: np.ndarray, fps: np.ndarray, radius: int, long: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a spanning forest for each cell) among rows that are sorted by cell."""
+    """Rows linked with a smaller row (a spanning forest for each cell) among rows sorted by cell."""
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(starts, len(keys)))
     run = np.repeat(np.arange(len(starts)), sizes)
@@ -120,32 +121,36 @@ def linked(keys: np.ndarray, fps: np.ndarray, radius: int, long: int = 64) -> tu
         own = slice(starts[k], starts[k] + sizes[k])
         label[own] = starts[k] + long_run(fps[own], radius)
     rows = np.flatnonzero(label != np.arange(len(keys)))
-    return fps[label[rows]], fps[rows]
+    return label[rows], rows
 
 
-def links_in_cells(radius: int):
-    """For mapInPandas over (cell, fp) sorted by cell; a cell that spans batches is held together."""
+def links_in_cells(radius: int, columns: tuple[str, ...] = ("cell", "fp", "fp"), join=linked):
+    """For mapInPandas over rows sorted by cell; a cell that spans batches is held together.
+
+    columns: the cell, the fingerprint, the node that links name (and what else `join` asks for).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[list[np.ndarray]] = []
 
         def out(parts):
-            keys, fps = (np.concatenate([p[x] for p in parts]) for x in (0, 1))
-            a, b = linked(keys, fps.astype(np.int64).view(np.uint64), radius)
-            return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+            keys, fps, nodes, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+            a, b = join(keys, fps.view(np.uint64), radius, *rest)
+            return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
         for batch in batches:
-            keys, fps = batch["cell"].to_numpy(), batch["fp"].to_numpy()
+            own = [batch[c].to_numpy(np.int64) for c in columns]
+            keys = own[0]
             if not len(keys):
                 continue
             last = int(np.searchsorted(keys, keys[-1]))
             if last:
-                yield out([*held, (keys[:last], fps[:last])])
+                yield out([*held, [x[:last] for x in own]])
                 held = []
             elif held and held[0][0][-1] != keys[0]:
                 yield out(held)
                 held = []
-            held.append((keys[last:], fps[last:]))
+            held.append([x[last:] for x in own])
         if held:
             yield out(held)
 
