@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pathweave.functions import profile as P
 from pathweave.functions.geo import haversine
 from pathweave.operators.dedup import last_wins
-from pathweave.sources.opl import tag
+from pathweave.sources.opl import only, tag
 
 #: An edge between two nodes of curated routes costs this share.
 OFFICIAL_FACTOR = 0.45
@@ -18,9 +18,12 @@ def profiled(ways: DataFrame, compact: bool = False) -> DataFrame:
     """ways (ord, id, tags, refs) plus cost, is_cycleway, is_dismount, dir; others are dropped."""
     ways = ways.withColumns({f"t_{k}": tag(F.col("tags"), k) for k in P.TAGS})  # one look-up a tag
     get = lambda k: F.col(f"`t_{k}`")
+    ways = ways.withColumns({f"c_{k}": c for k, c in P.conditions(get).items()})
+    shared = {k: F.col(f"c_{k}") for k in P.conditions(get)}
     has = lambda k: F.map_contains_key("tags", F.lit(k))
-    own = ways.withColumn("p", P.profile(get, compact)).where("p is not null")
-    return own.select("ord", "id", "refs", F.col("p.cost").alias("weight"), "p.is_cycleway", P.is_dismount(get).alias("is_dismount"), P.direction(get, has).alias("dir"))
+    own = ways.withColumns({"p": P.profile(get, compact, shared), "is_dismount": P.is_dismount(get), "dir": P.direction(get, has)})
+    fields = {"weight": F.col("p.cost"), "is_cycleway": F.col("p.is_cycleway"), "is_dismount": F.col("is_dismount"), "dir": F.col("dir")}
+    return only(own, ["ord", "id", "refs"], F.col("p").isNotNull(), **fields)
 
 
 def segments(ways: DataFrame) -> DataFrame:

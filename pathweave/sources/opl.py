@@ -52,6 +52,16 @@ def tag(bag: Column, key: str) -> Column:
     return F.coalesce(F.try_element_at(bag, F.lit(key)), F.lit(""))
 
 
+def only(df: DataFrame, carried: list[str], good: Column, **fields: Column) -> DataFrame:
+    """carried and fields of the rows where good holds.
+
+    The rows pass through a generator, not a filter: a filter would be pushed below the projections
+    that it reads, which would then be computed once more for each use.
+    """
+    row = F.struct(*[c.alias(n) for n, c in fields.items()])
+    return df.select(*carried, F.inline(F.array_compact(F.array(F.when(good, row)))))
+
+
 def elements(lines: DataFrame, kind: str) -> DataFrame:
     """The lines of nodes (n) or ways (w); relations and others have no reader."""
     return lines.where(F.left("value", F.lit(1)) == kind)
@@ -66,13 +76,14 @@ def nodes(lines: DataFrame, quarantined: bool = False) -> DataFrame:
     first = lambda p: F.get(F.filter("fields", lambda f: f.startswith(p)), F.lit(0))
     own = elements(lines, "n").withColumn("fields", fields)
     own = own.withColumns({"x": first("x"), "y": first("y"), "t": F.substring(first("T"), 2, 1 << 30)})
-    own = own.where("x is not null and y is not null")
-    number = lambda c: F.expr(f"try_cast(substring({c}, 2) as double)")
-    own = own.withColumns({"id": F.expr("try_cast(substring(fields[0], 2) as bigint)"), "lat": number("y"), "lon": number("x")})
-    good = "id is not null and lat is not null and lon is not null"
+    number = lambda c: F.substring(c, F.lit(2), F.lit(1 << 30)).try_cast("double")
+    own = own.withColumns({"id": F.substring(F.get("fields", F.lit(0)), 2, 1 << 30).try_cast("bigint"), "lat": number("y"), "lon": number("x")})
+    located = F.col("x").isNotNull() & F.col("y").isNotNull()
+    good = F.col("id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
     if quarantined:
-        return own.where(f"not ({good})").select("ord", "value")
-    return own.where(good).select("ord", "id", "lat", "lon", tags(F.coalesce("t", F.lit(""))).alias("tags"))
+        return own.where(located & ~good).select("ord", "value")
+    bag = tags(F.coalesce("t", F.lit("")))
+    return only(own, ["ord"], located & good, id=F.col("id"), lat=F.col("lat"), lon=F.col("lon"), tags=bag)
 
 
 WAY = r"(?d)^w(-?[0-9]+) .* T(.*?) N(.*)$"
@@ -83,15 +94,14 @@ def ways(lines: DataFrame, quarantined: bool = False) -> DataFrame:
 
     With quarantined: the lines that match but have no or malformed refs.
     """
-    own = elements(lines, "w").withColumn("value", F.rtrim("value")).where(F.col("value").rlike(WAY))
     part = lambda n: F.regexp_extract("value", WAY, n)
-    own = own.withColumns({"id": part(1).cast("bigint"), "t": part(2), "r": part(3)})
+    own = elements(lines, "w").withColumn("value", F.rtrim("value")).withColumns({"w": part(1), "t": part(2), "r": part(3)})
     refs = F.transform(F.split("r", ","), lambda r: F.regexp_replace(r, "^n+", "").try_cast("bigint"))
     own = own.withColumn("refs", refs)
-    good = ~F.exists("refs", lambda r: r.isNull())
+    matched, good = F.col("w") != "", ~F.exists("refs", lambda r: r.isNull())
     if quarantined:
-        return own.where(~good).select("ord", "value")
-    return own.where(good).select("ord", "id", tags(F.col("t")).alias("tags"), "refs")
+        return own.where(matched & ~good).select("ord", "value")
+    return only(own, ["ord"], matched & good, id=F.col("w").cast("bigint"), tags=tags(F.col("t")), refs=F.col("refs"))
 
 
 def field_map(value: Column) -> Column:
@@ -109,7 +119,7 @@ def place_elements(lines: DataFrame) -> DataFrame:
     get = lambda k: F.try_element_at("f", F.lit(k))
     kind = F.left("value", F.lit(1))
     refs = F.transform(F.filter(F.split(F.coalesce(get("N"), F.lit("")), ","), lambda r: r.startswith("n")), lambda r: F.substring(r, F.lit(2), F.length(r)).try_cast("bigint"))
-    return own.select(
+    known = own.select(
         "ord",
         kind.alias("kind"),
         F.coalesce(F.when(kind == "n", get("n")), get("w")).try_cast("bigint").alias("id"),
@@ -117,4 +127,6 @@ def place_elements(lines: DataFrame) -> DataFrame:
         get("x").try_cast("double").alias("lon"),
         tags(F.coalesce(get("T"), F.lit(""))).alias("tags"),
         refs.alias("refs"),
-    ).where("id is not null")
+    )
+    rest = {c: F.col(c) for c in known.columns if c != "ord"}
+    return only(known, ["ord"], F.col("id").isNotNull(), **rest)
