@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathweave.session import cut
+from pathweave.session import cut, forget
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component = smallest node) of undirected edges (a, b: long).
 
     Labels take the smallest label of their neighbours and then their label's label, round by
-    round, until none changes; each round is checkpointed and nothing but a flag comes to the driver.
+    round, until none changes; each round is a table in the checkpoint folder and nothing but a flag comes to the driver.
     A node whose only edges are loops is its own component.
     """
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
@@ -21,8 +21,10 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("mid"))
         up = step.select(F.col("node").alias("mid"), F.col("mid").alias("top"))
-        step = cut(step.join(up, "mid", "left").select("node", "old", F.least("mid", "top").alias("label")))
+        done, step = labels, cut(step.join(up, "mid", "left").select("node", "old", F.least("mid", "top").alias("label")))
+        forget(done)
         labels = step.select("node", "label")
+        labels.cut_path = step.cut_path
         if step.where("label <> old").limit(1).count() == 0:
             return labels.select("node", F.col("label").alias("component"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,35 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with the lineage cut, in the session's shared checkpoint folder."""
-    sc = df.sparkSession.sparkContext
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's spark.checkpoint.dir; a temporary folder only where the session names none."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
-    return df.checkpoint(eager=True)
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
+    return sc.getCheckpointDir()
+
+
+def delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    """Delete a folder of the shared store, now or when the application ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.deleteOnExit(place) if at_exit else store.delete(place, True)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows with the lineage cut: a table in the shared checkpoint folder.
+
+    A lost executor costs nothing, as any other can read the table. It goes when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    delete(spark, path, at_exit=True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the table behind a frame that cut() made and that nothing reads any more."""
+    delete(df.sparkSession, df.cut_path)
