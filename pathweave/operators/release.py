@@ -109,7 +109,7 @@ def stamp(now: datetime | None = None) -> str:
     return (now or datetime.now(UTC)).astimezone(KST).replace(microsecond=0).isoformat()
 
 
-def refresh_maps(manifest: DataFrame, files: DataFrame, release: str, base_url: str, now: datetime | None = None) -> DataFrame:
+def with_map_files(manifest: DataFrame, files: DataFrame, release: str, base_url: str, now: datetime | None = None) -> DataFrame:
     """M1, M3: new size and sha256 of each region's map by file name; its other fields survive.
 
     files: (file, size, sha256). A map without a file raises when the row is read (F13).
@@ -123,12 +123,12 @@ def refresh_maps(manifest: DataFrame, files: DataFrame, release: str, base_url:
     return header(own, release, base_url, now)
 
 
-def refresh_routing(manifest: DataFrame, files: DataFrame, version: str) -> DataFrame:
+def with_routing_files(manifest: DataFrame, files: DataFrame, version: str) -> DataFrame:
     """M2: a fresh {file, size, sha256} for each region's routing; download fields are lost."""
     return _replaced(manifest, files, f".routing.{version}.sqlite", "regions")
 
 
-def refresh_search(manifest: DataFrame, files: DataFrame, version: str = "v2") -> DataFrame:
+def with_search_files(manifest: DataFrame, files: DataFrame, version: str = "v2") -> DataFrame:
     """M2 for the search indexes, one for each region."""
     return _replaced(manifest, files, f".places.{version}.sqlite", "searchIndexes")
 

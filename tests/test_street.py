@@ -176,13 +176,13 @@ def test_release(spark, tmp_path):
     assert tuple(release.totals(release.assets(manifest)).first()) == (4, 50, 24, "0.480")
     from datetime import UTC, datetime
 
-    new = release.refresh_maps(manifest, found, "r1", "https://example.org/r1", datetime(2024, 1, 1, 20, 0, 0, 5, tzinfo=UTC))
+    new = release.with_map_files(manifest, found, "r1", "https://example.org/r1", datetime(2024, 1, 1, 20, 0, 0, 5, tzinfo=UTC))
     release.write_manifest(new, str(tmp_path / "out.json"))
     text = (tmp_path / "out.json").read_text()
     back = json.loads(text)
     assert text.endswith("}\n") and "가" in text and back["generatedAt"] == "2024-01-02T05:00:00+09:00"
     assert back["regions"][0]["size"] == 9000 and back["regions"][0]["routing"]["downloadFile"] == "r.z"
-    fresh = release.refresh_routing(manifest, found, "v10").select(F.explode("regions").alias("r")).select("r.routing.*").first()
+    fresh = release.with_routing_files(manifest, found, "v10").select(F.explode("regions").alias("r")).select("r.routing.*").first()
     assert fresh["file"] == "a.routing.v10.sqlite" and fresh["downloadFile"] is None
     packed = release.compressed(paths, str(tmp_path / "packed"))
     row = packed.orderBy("path").first()
