@@ -1,6 +1,6 @@
 """Nearest neighbours by collision counting over single-projection sorted arrays (operator 3).
 
-Vectors are scaled by the greatest norm and given one component more so that all have length 1;
+Vectors of similar norm are scaled by the greatest and given one component more so that all have length 1;
 a query is scaled to length 1 with 0 there. Their Euclidean distance then falls as the inner product
 rises. Each of PROJECTIONS random lines keeps the candidates' projections in a sorted array. A
 query's window on each array is centred on its own projection and grows with the radius (virtual
@@ -29,6 +29,8 @@ from .common import cut
 
 PROJECTIONS, WIDTH, RATIO, FIRST_RADIUS, THRESHOLD, SLACK = 32, 2.0, 1.2, 0.2, 0.66, 0.8
 BLOCK, QUERY_BLOCK, SEED = 65_536, 512, 5
+#: Vectors whose norms differ by more than about this factor are indexed apart.
+NORM_RATIO = 1.25
 
 
 def usable(vector: Column) -> Column:
@@ -103,7 +105,20 @@ class Index:
         return out
 
 
-def search_block(largest: float, k: int):
+def search_all(vectors: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The best of each query over indexes of vectors of similar norm: scaling by a far larger norm
+    would leave all of a class's vectors equally far from every query."""
+    norms = np.sqrt((vectors * vectors).sum(axis=1))
+    kinds = np.floor(np.log(norms) / np.log(NORM_RATIO) + 0.5)
+    out = [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+    for kind in np.unique(kinds):
+        own = np.flatnonzero(kinds == kind)
+        found = Index(vectors[own], norms[own].max()).search(queries, min(k, len(own)))
+        out = [(np.concatenate([r, own[rows]]), np.concatenate([s, scores])) for (r, s), (rows, scores) in zip(out, found, strict=True)]
+    return out
+
+
+def search_block(k: int):
     """For applyInPandas over one pair of blocks: rows (query, vec_id, vector)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -121,7 +136,7 @@ def search_block(largest: float, k: int):
         place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
         order = order[place <= k]
         starts = np.searchsorted(group[order], np.arange(len(first) + 1))
-        found = Index(data[first], largest).search(vectors[asked], min(k + 1, len(first)))
+        found = search_all(data[first], vectors[asked], k + 1)
         out = []
         for query, (rows, scores) in zip(ids[asked].tolist(), found, strict=True):
             best = np.argsort(-scores, kind="stable")
@@ -146,14 +161,13 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 20, vec_id: str = "vec_i
     own = cut(own.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("vector").alias("vector")))
     lengths = own.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     own = own.where(F.size("vector") == (lengths[0]["d"] if lengths else 0))
-    squares = F.aggregate(F.transform("vector", lambda x: x * x), F.lit(0.0), lambda a, x: a + x)
-    n, n_asked, largest = own.agg(F.count("*"), F.sum(asked.cast("long")), F.sqrt(F.max(squares))).first()
+    n, n_asked = own.agg(F.count("*"), F.sum(asked.cast("long"))).first()
     blocks, query_blocks = -(-n // BLOCK) or 1, -(-(n_asked or 0) // QUERY_BLOCK) or 1
     deal = lambda salt, count: F.pmod(F.xxhash64(F.lit(salt), F.col("vec_id")), F.lit(count)).cast("int")
     everywhere = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     data = own.select(F.lit(False).alias("query"), "vec_id", "vector", deal("data", blocks).alias("b"), everywhere(query_blocks).alias("q"))
     queries = own.where(asked).select(F.lit(True).alias("query"), "vec_id", "vector", everywhere(blocks).alias("b"), deal("query", query_blocks).alias("q"))
     pairs = data.unionByName(queries).groupBy("b", "q")
-    found = pairs.applyInPandas(search_block(float(largest or 1.0), k), "query_id long, vec_id long, score double")
+    found = pairs.applyInPandas(search_block(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
