@@ -1,34 +1,29 @@
-"""What the corpus operators share: tables, lineage cuts, size-checked joins, global ranks, components."""
+"""What the corpus operators share: tables, batch sizes, size-checked joins, global ranks."""
 
 from __future__ import annotations
 
 import json
-import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pathweave.operators.components import components
+from pathweave.session import cut, ensure_checkpoint_dir
+
+__all__ = ["components", "cut", "ensure_checkpoint_dir"]
+
+#: Rows of an Arrow batch where rows are a few numbers.
+SLIM_BATCH = 50_000
 #: Rows of a slim (a few longs wide) side that may be broadcast; a larger side is shuffled.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where the session names none."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with the lineage cut, kept in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most that many rows, else as it is (the join then shuffles).
 
@@ -37,11 +32,28 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound what a Python worker holds at once when rows carry whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def bind(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value computed once for each row."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what is computed inside: slim rows go faster in large ones."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the fifth of the documents that no model learns from."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -53,7 +65,7 @@ def global_rank(df: DataFrame, keys: list[Column], parts: int | None = None) ->
 
     Rows are range partitioned and sorted; a row's place in its partition comes from its
     monotonic id and partition offsets come from a table of one row a partition. The sorted rows
-    are checkpointed, so offsets and places come from the same partitioning.
+    are written, so offsets and places come from the same partitioning.
     """
     spark = df.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -71,25 +83,3 @@ def global_rank(df: DataFrame, keys: list[Column], parts: int | None = None) ->
     table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(starts)), "array<struct<p: bigint, o: bigint>>")))
     out = placed.withColumn("__p", part).join(F.broadcast(table), F.col("__p") == F.col("p"))
     return out.withColumn("rank", F.col("o") + at).drop("__p", "__m", "p", "o")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of undirected edges (a, b: long) as (node, component = smallest node).
-
-    Labels take the smallest label of their neighbours and then their label's label, round by
-    round, until none changes. Nothing but counts comes to the driver.
-    """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
-    while True:
-        near = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("mid"))
-        up = step.select(F.col("node").alias("mid"), F.col("mid").alias("top"))
-        step = cut(step.join(up, "mid", "left").select("node", "old", F.least("mid", "top").alias("label")))
-        labels = step.select("node", "label")
-        if step.where("label <> old").limit(1).count() == 0:
-            return labels.select("node", F.col("label").alias("component"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import global_rank
+from .common import bind, global_rank
 
 BITS, SHARDS, CODE_BYTES = 4, 8, 6
 
@@ -80,17 +80,12 @@ def hilbert(bins: list[Column], bits: int = BITS) -> Column:
     def fixed(g: Column) -> Column:
         last = F.get(g, F.lit(n - 1))
         fix = F.aggregate(flips, F.lit(0), lambda a, q: F.when(last.bitwiseAND(q) != 0, a.bitwiseXOR(q - 1)).otherwise(a))
-        return bound(fix, lambda f: F.transform(g, lambda v: v.bitwiseXOR(f)))
+        return bind(fix, lambda f: F.transform(g, lambda v: v.bitwiseXOR(f)))
 
     def woven(g: Column) -> Column:
         return F.aggregate(places, F.lit(0).cast("long"), lambda a, s: a * 2 + F.when(F.get(g, s["i"]).bitwiseAND(s["q"]) != 0, 1).otherwise(0))
 
-    return bound(bound(gray, fixed), woven)
-
-
-def bound(value: Column, then) -> Column:
-    """then(value), with the value computed once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+    return bind(bind(gray, fixed), woven)
 
 
 def shards(df: DataFrame, dims: list[str], ties: list[str], n_shards: int = SHARDS, bits: int = BITS) -> DataFrame:

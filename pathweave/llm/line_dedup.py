@@ -1,7 +1,7 @@
 """Fuzzy line dedup: SimHash, pigeonhole blocks, verified edit similarity, one line a group (operator 1).
 
-Lines are normalised (lower case, runs of other than letters and digits to one space) and SimHashed
-over their words. Fingerprints within RADIUS bits agree on all but RADIUS of the blocks that the 64
+Lines are normalised (lower case, runs of ASCII other than letters and digits to one space) and SimHashed
+over their words (a repeated word counts as others). Fingerprints within RADIUS bits agree on all but RADIUS of the blocks that the 64
 bits are cut into, so every choice of the remaining blocks is a key under which such lines meet.
 Lines that meet and are within the radius are verified: an edit distance of at most a fifth of the
 longer one's length. Of each connected group, equal lines included, the occurrence of the least
@@ -23,31 +23,43 @@ a duplicate line stays as it is, byte for byte; other columns pass through uncha
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded, components, cut
-from .simhash_dedup import links_in_cells
+from .common import SLIM_BATCH, batch_rows, bind, bounded, components, cut
+from .simhash_dedup import linked, links_in_cells
 
 RADIUS, MIN_WORDS, SIMILARITY = 3, 5, 0.8
 #: Blocks of a fingerprint by the number of distinct lines that they suffice for.
 BLOCKS = ((50_000_000, 4), (1_000_000_000, 5), (None, 6))
 BASE = 0x9E3779B97F4A7C15
-MASK = 0xFFFFFFFFFFFFFFFF
+#: Bytes hashed at once.
+PIECE = 1 << 16
+#: A space for each ASCII byte but letters, digits and the line feed.
+SIGNS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
+#: A byte's eight bits, one in each byte of a word.
+SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-def normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def normal_lines(text: str) -> list[str]:
+    """A text's lines: lower case, words between single spaces."""
+    return [b" ".join(line.split()).decode() for line in prepared([text]).split(b"\n")]
+
+
+def prepared(texts: list[str]) -> bytes:
+    """The texts' lines, one after another, with a space for every ASCII sign."""
+    return "\n".join(texts).lower().encode().translate(SIGNS)
 
 
 @lru_cache(maxsize=1)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
     """BASE ** i and its inverse, modulo 2 ** 64, for i < n."""
     both = []
     for base in (BASE, pow(BASE, -1, 1 << 64)):
@@ -57,62 +69,96 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def simhashes(lines: list[str]) -> np.ndarray:
-    """SimHashes of normalised lines (words between single spaces, at least one word each)."""
-    if not lines:
-        return np.empty(0, np.uint64)
-    data = np.frombuffer(("\n".join(lines) + "\n").encode(), np.uint8)
-    size = 1 << max(20, int(len(data)).bit_length())
-    up, down = powers(size)
-    ends = np.flatnonzero((data == 32) | (data == 10))
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])))
-    h = (total[ends] - total[starts]) * down[starts]
+def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(31)
-    last = np.flatnonzero(data[ends] == 10)
-    first = np.concatenate(([0], last[:-1] + 1))
-    out = np.zeros(len(lines), np.uint64)
-    most = 1 << 18  # words whose bits are spread out at once
+    return h ^ (h >> np.uint64(31))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word's bytes, from differences of running polynomial sums over bounded pieces."""
+    up, down = powers()
+    out = np.empty(len(starts), np.uint64)
     at = 0
-    while at < len(lines):
-        to = max(at + 1, int(np.searchsorted(last, first[at] + most)))
-        ones = np.zeros((to - at, 64), np.int64)
-        for w in range(first[at], last[to - 1] + 1, most):  # one line may be longer than that
-            part = h[w : min(w + most, last[to - 1] + 1)]
-            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            if to - at == 1:
-                ones[0] += bits.sum(axis=0, dtype=np.int64)
-            else:
-                ones += np.add.reduceat(bits, first[at:to] - first[at], axis=0, dtype=np.int32)
-        words = (last[at:to] - first[at:to] + 1)[:, None]
-        out[at:to] = np.packbits(2 * ones > words, axis=1, bitorder="little").view("<u8").ravel()
+    while at < len(starts):
+        to = int(np.searchsorted(ends, starts[at] + PIECE, "right"))
+        if to <= at:  # one word longer than a piece
+            out[at] = xxhash.xxh64_intdigest(data[starts[at] : ends[at]].tobytes())
+            at += 1
+            continue
+        base = starts[at]
+        part = data[base : ends[to - 1]].astype(np.uint64) + np.uint64(1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * up[: len(part)], out=total[1:])
+        s, e = starts[at:to] - base, ends[at:to] - base
+        out[at:to] = (total[e] - total[s]) * down[s]
         at = to
-    return out
+    return mix(out)
+
 
+def simhashes(h: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """SimHashes of lines, given all words' hashes and each line's first word and number of words.
 
-@F.pandas_udf(T.LongType())
-def simhash_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for lines in batches:
-        known = [x for x in lines if x is not None]
-        out = pd.Series([None] * len(lines), dtype="Int64")
-        out[np.flatnonzero(lines.notna().to_numpy())] = simhashes(known).view(np.int64)
-        yield out
+    The features are (word, how many of it came before in the line): by words alone all lines in
+    which one word prevails would have that word's hash. Eight bits at a time are spread to the bytes of a word and added up, for at most 255 words.
+    """
+    order = np.argsort(np.repeat(np.arange(len(words)).astype(np.uint64) << np.uint64(40), words) | h >> np.uint64(24), kind="stable")
+    key = h[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    new[first] = True
+    group = np.flatnonzero(new)
+    h = mix(key + (np.arange(len(h)) - np.repeat(group, np.diff(np.append(group, len(h))))).astype(np.uint64))
+    parts = -(-words // 255)
+    line = np.repeat(np.arange(len(words)), parts)
+    begin = np.cumsum(parts) - parts
+    starts = first[line] + 255 * (np.arange(len(line)) - begin[line])
+    bits = np.empty((len(line), 64), np.uint8)
+    for k, byte in enumerate(h.astype("<u8").view(np.uint8).reshape(-1, 8).T):
+        bits[:, 8 * k : 8 * k + 8] = np.add.reduceat(SPREAD[byte], starts).view(np.uint8).reshape(-1, 8)
+    ones = np.add.reduceat(bits, begin, axis=0, dtype=np.int64) if len(line) > len(words) else bits.astype(np.int64)
+    return np.packbits(2 * ones > words[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def line_table(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """(row of the text, line number, hash, SimHash, words, characters) of each line with a word."""
+    counts = np.array([t.count("\n") + 1 for t in texts])
+    data = np.frombuffer(prepared(texts) + b"\n", np.uint8)
+    gap = np.concatenate(([True], (data == 32) | (data == 10)))
+    change = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, ends = change[::2], change[1::2]
+    if not len(starts):
+        return tuple(np.empty(0, t) for t in (np.int64, np.int32, np.uint64, np.uint64, np.int64, np.int64))
+    h = word_hashes(data, starts, ends)
+    of = np.searchsorted(np.flatnonzero(data == 10), starts)
+    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    words = np.diff(np.append(first, len(of)))
+    place = (np.arange(len(of)) - np.repeat(first, words)).astype(np.uint64)
+    node = mix(np.add.reduceat(mix(h + place * np.uint64(BASE)), first))
+    row = np.repeat(np.arange(len(texts)), counts)[of[first]]
+    number = of[first] - (np.cumsum(counts) - counts)[row]
+    inner = np.flatnonzero(data & 0xC0 == 0x80)  # bytes that begin no character
+    chars = ends - starts - (np.searchsorted(inner, ends) - np.searchsorted(inner, starts))
+    return row, number.astype(np.int32), node, simhashes(h, first, words), words, np.add.reduceat(chars, first) + words - 1
+
+
+def numbered_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        row, line, node, sim, words, chars = line_table(pdf["text"].tolist())
+        own = pdf[["doc", "doc_id"]].iloc[row]
+        doc, long = own["doc"].to_numpy(), words >= MIN_WORDS
+        node = np.where(long, node, mix(node ^ doc.view(np.uint64)))
+        yield pd.DataFrame({"doc": doc, "doc_id": own["doc_id"].array, "line": line, "node": node.view(np.int64), "sim": np.where(long, sim, 0).view(np.int64), "chars": np.where(long, chars, 0)})
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, line, node, sim) of each line with a letter or digit.
+    """(doc, doc_id, line, node, sim, chars) of each line with a letter or digit.
 
     doc: hash of doc_id and text; node: hash of the normalised line (of short lines, with doc);
-    sim: null for short lines.
+    sim and chars (of the normalised line): 0 for short lines.
     """
-    own = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    own = own.select("doc", "doc_id", "line", normal(F.col("raw")).alias("norm")).where("norm <> ''")
-    long = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1 >= MIN_WORDS
-    sim = simhash_udf(F.when(long, F.col("norm")))
-    node = F.when(long, F.xxhash64("norm")).otherwise(F.xxhash64("norm", "doc"))
-    return own.select("doc", "doc_id", "line", node.alias("node"), sim.alias("sim"))
+    own = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
+    kind = dict(docs.dtypes)["doc_id"]
+    return own.mapInPandas(numbered_lines, f"doc long, doc_id {kind}, line int, node long, sim long, chars long")
 
 
 def keys(sim: Column, blocks: int, radius: int) -> Column:
@@ -125,8 +171,21 @@ def keys(sim: Column, blocks: int, radius: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(n), *[part[i] for i in c]) for n, c in enumerate(chosen)])
 
 
-def apart(cell: np.ndarray, fps: np.ndarray, radius: int, label: np.ndarray, tile: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows in a cell within the radius whose labels differ."""
+def same_length(chars: np.ndarray, similarity: float):
+    """Pairs of rows whose lengths alone do not rule the similarity out: an edit adds one character."""
+
+    def fit(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.abs(chars[i] - chars[j]) <= np.maximum(chars[i], chars[j]) * (1 - similarity) + 1e-9
+
+    return fit
+
+
+def candidates_in_cell(similarity: float):
+    return lambda cell, fps, radius, chars: linked(cell, fps, radius, same_length(chars, similarity))
+
+
+def apart(cell: np.ndarray, fps: np.ndarray, radius: int, chars: np.ndarray, label: np.ndarray, similarity: float, tile: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows in a cell within the radius that may be similar and whose labels differ."""
     starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
     out = [(np.empty(0, int), np.empty(0, int))]
     for s, e in zip(starts, np.append(starts[1:], len(cell)), strict=True):
@@ -135,34 +194,94 @@ def apart(cell: np.ndarray, fps: np.ndarray, radius: int, label: np.ndarray, til
                 x, y = slice(top, min(top + tile, e)), slice(left, min(left + tile, e))
                 near = (np.bitwise_count(fps[x, None] ^ fps[None, y]) <= radius) & (label[x, None] != label[None, y])
                 i, j = np.nonzero(near)
-                out.append((i + top, j + left))
+                i, j = i + top, j + left
+                near = same_length(chars, similarity)(i, j)
+                out.append((i[near], j[near]))
     return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
 
-def within(a: Column, b: Column, similarity: float = SIMILARITY) -> Column:
-    """1 - edit distance / longer length >= similarity; small distances are looked for first."""
-    most = F.floor(F.greatest(F.length(a), F.length(b)) * F.lit(1 - similarity) + 1e-9).cast("int")
-    near = F.abs(F.length(a) - F.length(b)) <= most
-    small = F.call_function("levenshtein", a, b, F.least(most, F.lit(16))) >= 0
-    middle = (most > 16) & (F.call_function("levenshtein", a, b, F.least(most, F.lit(256))) >= 0)
-    large = (most > 256) & (F.call_function("levenshtein", a, b, most) >= 0)
-    return near & F.when(small, True).when(middle, True).otherwise(large)
+def shared(a, b) -> int:
+    """The length of the common beginning, by bisection."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def inner(a, b):
+    """Both sequences without their common beginning and end."""
+    head = shared(a, b)
+    a, b = a[head:], b[head:]
+    tail = shared(a[::-1], b[::-1])
+    return a[: len(a) - tail], b[: len(b) - tail]
+
+
+def edit_distance(a, b, most: int) -> int:
+    """The edit distance of two strings or lists, or most + 1 if it is larger.
+
+    Bit-parallel: a column of the table is two integers.
+    """
+    a, b = inner(a, b)
+    if not a or not b or abs(len(a) - len(b)) > most:
+        return min(max(len(a), len(b)), most + 1)
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    every, top = (1 << len(a)) - 1, 1 << len(a) - 1
+    more, less, score = every, 0, len(a)  # where a cell is one more (one less) than that above it
+    for n, c in enumerate(b, 1):
+        same = at.get(c, 0)
+        down = same | less
+        across = (((same & more) + more) ^ more) | same
+        rise, fall = less | ~(across | more) & every, more & across
+        score += bool(rise & top) - bool(fall & top)
+        if score - (len(b) - n) > most:  # the rest lowers it by one a step at most
+            return most + 1
+        rise, fall = (rise << 1 | 1) & every, fall << 1 & every
+        more, less = fall | ~(down | rise) & every, rise & down
+    return score
+
+
+def alike(a: str, b: str, similarity: float) -> bool:
+    """1 - edit distance / longer length >= similarity.
+
+    Upper bounds come first: the length of what differs, then words replaced whole.
+    """
+    most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    x, y = inner(a, b)
+    if max(len(x), len(y)) <= most:
+        return True
+    x, y = a.split(" "), b.split(" ")
+    longest = max(map(len, x + y)) + 1
+    if longest <= most and edit_distance(x, y, most // longest) * longest <= most:
+        return True
+    return edit_distance(a, b, most) <= most
 
 
 def texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, norm) for reps (node, doc, line)."""
-    wanted = reps.groupBy("doc").agg(F.collect_list(F.struct("line", "node")).alias("wanted"))
-    found = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text").join(bounded(cut(wanted)), "doc")
-    lines = found.select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-    lines = lines.select("w.node", normal(F.get("lines", F.col("w.line"))).alias("norm"))
-    return lines.groupBy("node").agg(F.first("norm").alias("norm"))
+    """(node, raw: the line as it stands) for reps (node, doc, line); more rows where documents repeat."""
+    wanted = cut(reps.groupBy("doc").agg(F.collect_list(F.struct("line", "node")).alias("wanted")))
+    found = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "text").join(bounded(wanted), "doc")
+    pick = lambda lines: F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), F.get(lines, w["line"]).alias("raw")))
+    return found.select(F.inline(bind(F.split("text", "\n"), pick)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """pairs (a, b) plus ok."""
-    x = texts.select(F.col("node").alias("a"), F.col("norm").alias("__x"))
-    y = texts.select(F.col("node").alias("b"), F.col("norm").alias("__y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", within(F.col("__x"), F.col("__y"), similarity).alias("ok"))
+    x = texts.select(F.col("node").alias("a"), F.col("raw").alias("__x"))
+    y = texts.select(F.col("node").alias("b"), F.col("raw").alias("__y"))
+
+    @F.pandas_udf(T.BooleanType())
+    def check(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([alike(normal_lines(p)[0], normal_lines(q)[0], similarity) for p, q in zip(a, b, strict=True)], dtype=bool)
+
+    return pairs.join(x, "a").join(y, "b").select("a", "b", check("__x", "__y").alias("ok"))
 
 
 def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: float) -> DataFrame:
@@ -171,11 +290,12 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
     blocks = next(b for most, b in BLOCKS if most is None or n <= most)
 
     def dealt(rows: DataFrame, *extra: str) -> DataFrame:
-        cells = rows.select(F.explode(keys(F.col("sim"), blocks, radius)).alias("cell"), "sim", "node", *extra)
+        cells = rows.select(F.explode(keys(F.col("sim"), blocks, radius)).alias("cell"), "sim", "node", "chars", *extra)
         return cells.repartition("cell").sortWithinPartitions("cell", "sim", "node")
 
-    columns = ("cell", "sim", "node")
-    candidates = cut(dealt(nodes).mapInPandas(links_in_cells(radius, columns), "a long, b long").distinct())
+    columns, spark = ("cell", "sim", "node", "chars"), docs.sparkSession
+    with batch_rows(spark, SLIM_BATCH):
+        candidates = cut(dealt(nodes).mapInPandas(links_in_cells(radius, columns, candidates_in_cell(similarity)), "a long, b long").distinct())
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     known = cut(nodes.join(bounded(cut(ends)), "node"))
     texts = cut(texts_of(docs, known))
@@ -187,9 +307,12 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
         bad = failed.select(F.col("a").alias("node")).join(whole, "node").select("component").distinct()
         rest = whole.join(bad, "component", "left_semi").select("node")
         label = F.coalesce("component", "node").alias("label")
-        rest = known.join(rest, "node").join(components(good), "node", "left").select("node", "sim", label)
-        pairs = dealt(rest, "label").mapInPandas(links_in_cells(radius, (*columns, "label"), apart), "a long, b long")
-        more = verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts, similarity)
+        rest = known.join(rest, "node").join(components(good), "node", "left").select("node", "sim", "chars", label)
+        join = partial(apart, similarity=similarity)
+        pairs = dealt(rest, "label").mapInPandas(links_in_cells(radius, (*columns, "label"), join), "a long, b long")
+        with batch_rows(spark, SLIM_BATCH):
+            pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        more = verified(pairs, texts, similarity)
         good = cut(good.union(more.where("ok").select("a", "b")))
     return components(good)
 
@@ -198,8 +321,8 @@ def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     """(doc, lines): the numbers of the lines to drop from each document that has such."""
     found = cut(occurrences(docs))
     place = F.struct("doc_id", "doc", "line")
-    groups = cut(found.groupBy("node").agg(F.min(place).alias("rep"), F.count("*").alias("n"), F.first("sim").alias("sim")))
-    nodes = groups.where("sim is not null").select("node", "sim", "rep.doc", "rep.line")
+    groups = cut(found.groupBy("node").agg(F.min(place).alias("rep"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("chars").alias("chars")))
+    nodes = groups.where("chars > 0").select("node", "sim", "chars", "rep.doc", "rep.line")
     comp = cut(similar_lines(docs, nodes, radius, similarity))
     reps = groups.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     joined = reps.join(comp.select("component").distinct(), "component", "left_semi")
@@ -215,9 +338,11 @@ def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMIL
     """docs with their text after dedup, plus lines_in and lines_dropped."""
     own = docs.select("doc_id", "text")
     gone = dropped_lines(own, radius, similarity).withColumnRenamed("doc", "__doc").withColumnRenamed("lines", "__gone")
-    lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(bind(F.split("text", "\n"), rest))
     out = docs.withColumn("__doc", F.xxhash64("doc_id", "text")).join(bounded(gone), "__doc", "left")
-    out = out.withColumn("lines_in", F.coalesce(F.size(lines), F.lit(0))).withColumn("lines_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
+    out = out.withColumn("lines_in", F.coalesce(F.size(F.split("text", "\n")), F.lit(0))).withColumn("lines_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
     return out.withColumn("text", text).drop("__doc", "__gone")

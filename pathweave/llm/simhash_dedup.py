@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded, components, cut
+from .common import SLIM_BATCH, batch_rows, bounded, components, cut
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
 
@@ -88,7 +88,11 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def long_run(fps: np.ndarray, radius: int, tile: int = 2048) -> np.ndarray:
+def all_fit(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.ones(len(i), bool)
+
+
+def long_run(fps: np.ndarray, radius: int, fit=all_fit, tile: int = 2048) -> np.ndarray:
     """roots() of one cell with many fingerprints, tile by tile, so in bounded memory."""
     label = np.arange(len(fps))
     for top in range(0, len(fps), tile):
@@ -96,42 +100,52 @@ def long_run(fps: np.ndarray, radius: int, tile: int = 2048) -> np.ndarray:
             i, j = np.nonzero(np.bitwise_count(fps[top : top + tile, None] ^ fps[None, left : left + tile]) <= radius)
             i, j = i + top, j + left
             new = label[i] != label[j]
+            i, j = i[new], j[new]
+            new = fit(i, j)
             if new.any():
                 label = roots(len(fps), np.append(i[new], np.arange(len(fps))), np.append(j[new], label))
     return label
 
 
-def linked(keys: np.ndarray, fps: np.ndarray, radius: int, long: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Rows linked with a smaller row (a spanning forest for each cell) among rows sorted by cell."""
+def linked(keys: np.ndarray, fps: np.ndarray, radius: int, fit=all_fit, long: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Rows linked with a smaller row (a spanning forest for each cell) among rows sorted by cell.
+
+    fit(i, j): which pairs of rows within the radius are links.
+    """
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(starts, len(keys)))
     run = np.repeat(np.arange(len(starts)), sizes)
     i, j = [], []
-    short = sizes[run] <= long
-    for d in range(1, min(long, int(sizes.max(initial=1)))):
-        at = np.flatnonzero((run[d:] == run[:-d]) & short[d:])
+    left = np.where(sizes[run] <= long, np.repeat(starts + sizes, sizes) - 1 - np.arange(len(keys)), 0)
+    at = np.flatnonzero(left)
+    for d in range(1, long):
+        at = at[left[at] >= d]  # rows with a row of their cell d places on
         if not len(at):
             break
-        at = at[np.bitwise_count(fps[at] ^ fps[at + d]) <= radius]
-        i.append(at)
-        j.append(at + d)
+        near = at[np.bitwise_count(fps[at] ^ fps[at + d]) <= radius]
+        near = near[fit(near, near + d)]
+        i.append(near)
+        j.append(near + d)
     i, j = (np.concatenate(x) if x else np.empty(0, int) for x in (i, j))
     label = roots(len(keys), i, j)
     for k in np.flatnonzero(sizes > long):
-        own = slice(starts[k], starts[k] + sizes[k])
-        label[own] = starts[k] + long_run(fps[own], radius)
+        s = starts[k]
+        label[s : s + sizes[k]] = s + long_run(fps[s : s + sizes[k]], radius, lambda x, y, s=s: fit(x + s, y + s))
     rows = np.flatnonzero(label != np.arange(len(keys)))
     return label[rows], rows
 
 
-def links_in_cells(radius: int, columns: tuple[str, ...] = ("cell", "fp", "fp"), join=linked):
+def links_in_cells(radius: int, columns: tuple[str, ...] = ("cell", "fp", "fp"), join=linked, least: int = 1 << 17):
     """For mapInPandas over rows sorted by cell; a cell that spans batches is held together.
 
+    Whole cells are joined once `least` rows have come, as small batches would take longer.
+
     columns: the cell, the fingerprint, the node that links name (and what else `join` asks for).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[list[np.ndarray]] = []
+        rows = 0
 
         def out(parts):
             keys, fps, nodes, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -144,13 +158,11 @@ def links_in_cells(radius: int, columns: tuple[str, ...] = ("cell", "fp", "fp"),
             if not len(keys):
                 continue
             last = int(np.searchsorted(keys, keys[-1]))
-            if last:
+            if rows + last >= least and (last or held[-1][0][-1] != keys[0]):
                 yield out([*held, [x[:last] for x in own]])
-                held = []
-            elif held and held[0][0][-1] != keys[0]:
-                yield out(held)
-                held = []
-            held.append([x[last:] for x in own])
+                held, rows, own = [], 0, [x[last:] for x in own]
+            held.append(own)
+            rows += len(own[0])
         if held:
             yield out(held)
 
@@ -162,7 +174,8 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     if not 0 <= radius <= 4:
         raise ValueError("cells meet up to a distance of 2 in a half: a radius of 4 at most")
     dealt = fps.select(F.explode(cells(F.col("fp"))).alias("cell"), "fp").repartition("cell").sortWithinPartitions("cell", "fp")
-    return dealt.mapInPandas(links_in_cells(radius), "a long, b long").distinct()
+    with batch_rows(fps.sparkSession, SLIM_BATCH):
+        return cut(dealt.mapInPandas(links_in_cells(radius), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -179,9 +192,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs with one document (the smallest doc_id) of each group of near-duplicates, all columns."""
+    """docs with one document (the smallest doc_id) of each group of near-duplicates, all columns.
+
+    doc_id is the document's key: rows that repeat one become one. Documents without a doc_id stay.
+    """
     found = cut(near_duplicates(docs, radius).select("doc_id", "component_id"))
-    gone = found.where("doc_id is null or doc_id <> component_id").select("doc_id").distinct()
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(bounded(cut(gone)), "doc_id", "left_anti")
     repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id"]) if repeated else kept
