@@ -3,9 +3,10 @@
 Words are lower-cased runs of letters between spaces; their byte n-grams of 2 to 4 (word edges
 included) hash to embeddings. A text is the mean of its n-grams' embeddings, classified by a linear
 softmax; both are trained by stochastic gradient descent in numpy on a bounded sample of labelled
-rows, the same number for each language, of documents that are not held out. A temperature fitted
-on a part kept from training calibrates the scores; the rejection threshold is the score that all
-but a small share of that part's texts reach. As the classifier is linear in the mean, prediction
+rows, the same number for each language, of documents that are not held out (whole texts, and short
+runs of their words). A temperature and a weight for the number of n-grams, fitted on a part kept
+from training, calibrate the scores: few n-grams, or such as training never saw, leave all languages
+alike. The rejection threshold is the score that all but a small share of that part's texts reach. As the classifier is linear in the mean, prediction
 adds up each n-gram's class scores.
 
 Defined cases: null texts and texts without a letter get `und`, score 0 and are rejected; without
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,9 @@ from .common import held_out
 SAMPLE_ROWS, SAMPLE_EACH = 4000, 600
 BITS, DIM, EPOCHS, RATE = 16, 16, 10, 0.5
 #: The share of known texts that the rejection threshold may turn away, and its upper bound.
-REJECTED_SHARE, HIGHEST_THRESHOLD = 0.001, 0.5
+REJECTED_SHARE, HIGHEST_THRESHOLD = 0.001, 0.4
+#: Beside each whole text, runs of so many of its words are learned from, as short texts differ.
+RUNS = (2, 8)
 PIECE = 1 << 20
 OTHER = re.compile(r"[\W\d_]+")
 
@@ -74,16 +78,24 @@ def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return own.astype(np.int32), total[own]
 
 
+def run_of(text: str | None, size: int) -> str:
+    """A run of so many words from a place that depends on the text alone."""
+    words = letters(text).split()
+    at = crc32(" ".join(words).encode()) % max(1, len(words) - size + 1)
+    return " ".join(words[at : at + size])
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
 
 
 class Model:
-    """langs, the class scores of each bucket (already divided by the temperature), the threshold."""
+    """langs, the class scores of each bucket (already divided by the temperature), the number of
+    n-grams at which they count by half, the threshold."""
 
-    def __init__(self, langs: list[str], table: np.ndarray, threshold: float):
-        self.langs, self.table, self.threshold = langs, table, threshold
+    def __init__(self, langs: list[str], table: np.ndarray, half: float, threshold: float):
+        self.langs, self.table, self.half, self.threshold = langs, table, half, threshold
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = letters(text)
@@ -93,16 +105,16 @@ class Model:
         for own in buckets(words):
             total += self.table[own].sum(axis=0, dtype=np.float64)
             n += len(own)
-        p = softmax(total / max(n, 1))
+        p = softmax(total / (max(n, 1) + self.half))
         return self.langs[int(p.argmax())], float(p.max())
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, str, bool]], seed: int = 7) -> Model:
-    """rows: (distinct buckets, counts, language, kept for calibration). Order does not matter."""
+def train(rows: list[tuple[np.ndarray, np.ndarray, str, bool, bool]], seed: int = 7) -> Model:
+    """rows: (distinct buckets, counts, language, kept for calibration, whole). Order does not matter."""
     rows = [r for r in rows if len(r[0])]
     langs = sorted({r[2] for r in rows})
     if not langs:
-        return Model([], np.zeros((1 << BITS, 0)), 0.0)
+        return Model([], np.zeros((1 << BITS, 0)), 0.0, 0.0)
     rows = sorted(rows, key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))
     x = [(r[0], (r[1] / r[1].sum()).astype(np.float32)) for r in rows]
     y = np.array([langs.index(r[2]) for r in rows])
@@ -126,13 +138,20 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str, bool]], seed: int = 7) -
             # a text's n-grams share one gradient; each takes as much of it as its share of the mean, scaled so that the common ones move by RATE
             emb[own] -= (w / w.max())[:, None] * back
             done += 1
-    table = emb @ lin
+    seen = np.zeros(1 << BITS, bool)
+    for i in fit:
+        seen[x[i][0]] = True
+    table = (emb @ lin) * seen[:, None]
     z = np.array([x[i][1] @ table[x[i][0]] for i in rest])
-    heat = np.geomspace(0.02, 5, 60)
-    nll = [-np.log(softmax(z / t)[np.arange(len(rest)), y[rest]] + 1e-12).mean() for t in heat]
-    t = float(heat[int(np.argmin(nll))])
-    best = softmax(z / t).max(axis=1)
-    return Model(langs, (table / t).astype(np.float32), min(HIGHEST_THRESHOLD, float(np.quantile(best, REJECTED_SHARE))))
+    n = np.array([rows[i][1].sum() for i in rest], float)[:, None]
+
+    def loss(heat: float, half: float) -> float:
+        return float(-np.log(softmax(z * n / (n + half) / heat)[np.arange(len(rest)), y[rest]] + 1e-12).mean())
+
+    heat, half = min(((t, k) for t in np.geomspace(0.02, 5, 40) for k in (0.0, 3.0, 10.0, 30.0, 100.0)), key=lambda tk: loss(*tk))
+    whole = np.array([rows[i][4] for i in rest])
+    best = softmax(z * n / (n + half) / heat).max(axis=1)[whole if whole.any() else slice(None)]
+    return Model(langs, (table / heat).astype(np.float32), half, min(HIGHEST_THRESHOLD, float(np.quantile(best, REJECTED_SHARE))))
 
 
 def fit(docs: DataFrame) -> Model:
@@ -146,13 +165,14 @@ def fit(docs: DataFrame) -> Model:
     spot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
 
     @F.pandas_udf(T.StructType([T.StructField("b", T.ArrayType(T.IntegerType())), T.StructField("n", T.ArrayType(T.LongType()))]))
-    def features(texts: pd.Series) -> pd.DataFrame:
-        found = [counted(t) for t in texts]
+    def features(texts: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+        found = [counted(run_of(t, n) if n else t) for t, n in zip(texts, sizes, strict=True)]
         return pd.DataFrame({"b": [f[0] for f in found], "n": [f[1] for f in found]})
 
     kept = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(5)) == 0
-    sample = seen.where(spot < share).select("lang", kept.alias("kept"), features(F.col("text")).alias("f"))
-    return train([(np.array(r["f"]["b"], np.int32), np.array(r["f"]["n"], np.int64), r["lang"], r["kept"]) for r in sample.toLocalIterator()])
+    sample = seen.where(spot < share).select("lang", kept.alias("kept"), "text", F.explode(F.array(F.lit(0), *map(F.lit, RUNS))).alias("size"))
+    sample = sample.select("lang", "kept", (F.col("size") == 0).alias("whole"), features("text", "size").alias("f"))
+    return train([(np.array(r["f"]["b"], np.int32), np.array(r["f"]["n"], np.int64), r["lang"], r["kept"], r["whole"]) for r in sample.toLocalIterator()])
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
