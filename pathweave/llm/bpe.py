@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as proto
 
+from .common import series_udf
+
 #: Pre-tokens whose ids a worker remembers, and the longest remembered.
-MEMO, MEMO_CHARS = 300_000, 64
+MEMO, MEMO_CHARS = 100_000, 64
 #: Texts over this length are split by an iterator instead of a list.
 LONG_TEXT = 1 << 20
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -162,23 +164,21 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None, pattern:
     """df plus `ids`: the text's ids, packed as little-endian unsigned 32-bit integers."""
     shared = df.sparkSession.sparkContext.broadcast(serialise(read_ranks(path or public_tokenizers.path(VOCABULARY))))
 
-    @F.pandas_udf(T.BinaryType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(shared.value, pattern)
         for texts in batches:
             yield pd.Series([own.encode(t) for t in texts], dtype=object)
 
-    return df.withColumn("ids", run(F.col(text)))
+    return df.withColumn("ids", series_udf(run, T.BinaryType())(F.col(text)))
 
 
 def decode(df: DataFrame, ids: str = "ids", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """df plus `decoded`: the bytes that packed ids stand for (null ids: no bytes)."""
     shared = df.sparkSession.sparkContext.broadcast(serialise(read_ranks(path or public_tokenizers.path(VOCABULARY))))
 
-    @F.pandas_udf(T.BinaryType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(shared.value, pattern)
         for packed in batches:
             yield pd.Series([own.decode(x or b"") for x in packed], dtype=object)
 
-    return df.withColumn("decoded", run(F.col(ids)))
+    return df.withColumn("decoded", series_udf(run, T.BinaryType())(F.col(ids)))

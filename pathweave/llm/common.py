@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pandas as pd
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from pathweave.operators.components import components
 from pathweave.session import cut, ensure_checkpoint_dir
@@ -54,6 +58,29 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, giving freed memory back to the system when a task ends: workers outlive their tasks."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pyarrow.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # only where the C library can
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
+def series_udf(run: Callable[[Iterator], Iterator], kind: DataType):
+    """A pandas UDF of one column from an iterator over its batches; it gives memory back after a task."""
+
+    def batches(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from released(run)(series)
+
+    return F.pandas_udf(batches, kind)
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the fifth of the documents that no model learns from."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLIM_BATCH, batch_rows, bind, bounded, components, cut
+from .common import SLIM_BATCH, batch_rows, bind, bounded, components, cut, released
 from .simhash_dedup import linked, links_in_cells
 
 RADIUS, MIN_WORDS, SIMILARITY = 3, 5, 0.8
@@ -158,7 +158,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """
     own = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
     kind = dict(docs.dtypes)["doc_id"]
-    return own.mapInPandas(numbered_lines, f"doc long, doc_id {kind}, line int, node long, sim long, chars long")
+    return own.mapInPandas(released(numbered_lines), f"doc long, doc_id {kind}, line int, node long, sim long, chars long")
 
 
 def keys(sim: Column, blocks: int, radius: int) -> Column:
@@ -295,7 +295,7 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
 
     columns, spark = ("cell", "sim", "node", "chars"), docs.sparkSession
     with batch_rows(spark, SLIM_BATCH):
-        candidates = cut(dealt(nodes).mapInPandas(links_in_cells(radius, columns, candidates_in_cell(similarity)), "a long, b long").distinct())
+        candidates = cut(dealt(nodes).mapInPandas(released(links_in_cells(radius, columns, candidates_in_cell(similarity))), "a long, b long").distinct())
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     known = cut(nodes.join(bounded(cut(ends)), "node"))
     texts = cut(texts_of(docs, known))
@@ -309,7 +309,7 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
         label = F.coalesce("component", "node").alias("label")
         rest = known.join(rest, "node").join(components(good), "node", "left").select("node", "sim", "chars", label)
         join = partial(apart, similarity=similarity)
-        pairs = dealt(rest, "label").mapInPandas(links_in_cells(radius, (*columns, "label"), join), "a long, b long")
+        pairs = dealt(rest, "label").mapInPandas(released(links_in_cells(radius, (*columns, "label"), join)), "a long, b long")
         with batch_rows(spark, SLIM_BATCH):
             pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         more = verified(pairs, texts, similarity)

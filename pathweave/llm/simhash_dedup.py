@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLIM_BATCH, batch_rows, bounded, components, cut
+from .common import SLIM_BATCH, batch_rows, bounded, components, cut, released, series_udf
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
 
@@ -50,8 +50,7 @@ def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
-@F.pandas_udf(T.LongType())
-def simhash_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def simhash_series(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield pd.Series(np.array([simhash(t) for t in texts], np.uint64).view(np.int64))
 
@@ -175,12 +174,12 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         raise ValueError("cells meet up to a distance of 2 in a half: a radius of 4 at most")
     dealt = fps.select(F.explode(cells(F.col("fp"))).alias("cell"), "fp").repartition("cell").sortWithinPartitions("cell", "fp")
     with batch_rows(fps.sparkSession, SLIM_BATCH):
-        return cut(dealt.mapInPandas(links_in_cells(radius), "a long, b long").distinct())
+        return cut(dealt.mapInPandas(released(links_in_cells(radius)), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id that links reach."""
-    own = cut(docs.select("doc_id", simhash_udf(F.col("text")).alias("fp")))
+    own = cut(docs.select("doc_id", series_udf(simhash_series, T.LongType())(F.col("text")).alias("fp")))
     nodes = own.groupBy("fp").agg(F.min("doc_id").alias("least"))
     comp = components(fingerprint_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
     of = nodes.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
