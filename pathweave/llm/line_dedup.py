@@ -12,6 +12,10 @@ fails the edit check are the pairs between the parts that it would have joined l
 so connectedness is that of all verified pairs. The number of blocks follows the number of lines;
 the result does not depend on it.
 
+With `grams`, as the query and the pipeline call it, lines also meet by MinHashes of their character
+n-grams (GRAMS), within GRAM_RADIUS bits: one replaced word of ten moves a SimHash by eight bits, so
+most lines of the required edit similarity lie beyond any radius that pigeonhole blocks can serve.
+
 Lines of fewer than MIN_WORDS words agree by chance: they are compared for equality, and in their
 own document only. Lines without a letter or digit always stay.
 
@@ -23,7 +27,7 @@ a duplicate line stays as it is, byte for byte; other columns pass through uncha
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache, partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -39,6 +43,9 @@ from .simhash_dedup import linked, links_in_cells
 RADIUS, MIN_WORDS, SIMILARITY = 3, 5, 0.8
 #: Blocks of a fingerprint by the number of distinct lines that they suffice for.
 BLOCKS = ((50_000_000, 4), (1_000_000_000, 5), (None, 6))
+#: (bytes of an n-gram, MinHashes of them, most characters of the lines that get them or None), and the
+#: SimHash radius of what meets by them.
+GRAMS, GRAM_RADIUS = ((16, 6, None), (8, 3, 80)), 20
 BASE = 0x9E3779B97F4A7C15
 #: Bytes hashed at once.
 PIECE = 1 << 16
@@ -141,24 +148,65 @@ def line_table(texts: list[str]) -> tuple[np.ndarray, ...]:
     return row, number.astype(np.int32), node, simhashes(h, first, words), words, np.add.reduceat(chars, first) + words - 1
 
 
-def numbered_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def gram_minima(texts: list[str], width: int, keys: int) -> np.ndarray:
+    """For each line with a word, `keys` minima of hashes of its runs of `width` bytes (of the whole line if shorter).
+
+    Each is a MinHash of the line's character n-grams: two lines share it as often as their n-grams are the same.
+    """
+    data = np.frombuffer(prepared(texts) + b"\n", np.uint8)
+    gap = (data == 32) | (data == 10)
+    of = np.cumsum(data == 10) - (data == 10)
+    keep = ~gap | np.concatenate(([False], ~gap[:-1]))  # a sign after each word
+    codes, of = np.where(gap, 32, data)[keep].astype(np.uint64), of[keep]
+    if not len(codes):
+        return np.empty((0, keys), np.uint32)
+    new = np.concatenate(([True], of[1:] != of[:-1]))
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.append(first, len(of)))
+    left = np.repeat(first + sizes, sizes) - np.arange(len(of))  # bytes to the line's end
+    h, power, n = mix(codes + np.uint64(1)), BASE, 1
+    while n < width:  # hashes of 2, 4, 8 bytes; what is beyond the line counts as nothing
+        after = np.concatenate((h[n:], np.zeros(n, np.uint64))) if n < len(h) else np.zeros(len(h), np.uint64)
+        h = h * np.uint64(power) + np.where(left > n, after, np.uint64(0))
+        power, n = power * power & 0xFFFFFFFFFFFFFFFF, 2 * n
+    h = mix(h)[rows := (left >= width) | new]
+    first = np.flatnonzero(new[rows])
+    minima = [np.minimum.reduceat(mix(h ^ np.uint64(k * BASE & 0xFFFFFFFFFFFFFFFF)), first) for k in range(1, keys + 1)]
+    return np.stack([(mix(x) >> np.uint64(32)).astype(np.uint32) for x in minima], axis=1)
+
+
+def gram_lists(texts: list[str], chars: np.ndarray) -> list[np.ndarray]:
+    """The MinHashes by GRAMS of each line with a word."""
+    found = np.concatenate([gram_minima(texts, width, keys) for width, keys, _ in GRAMS], axis=1).view(np.int32)
+    ends = np.cumsum([keys for _, keys, _ in GRAMS])
+    fit = np.stack([chars <= (most or chars.max(initial=0)) for _, _, most in GRAMS])
+    sizes = np.where(fit.all(axis=0), ends[-1], ends[0])
+    return [g[:n] for g, n in zip(found, sizes, strict=True)]
+
+
+def numbered_lines(batches: Iterator[pd.DataFrame], grams: bool = False) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        row, line, node, sim, words, chars = line_table(pdf["text"].tolist())
+        texts = pdf["text"].tolist()
+        row, line, node, sim, words, chars = line_table(texts)
         own = pdf[["doc", "doc_id"]].iloc[row]
         doc, long = own["doc"].to_numpy(), words >= MIN_WORDS
         node = np.where(long, node, mix(node ^ doc.view(np.uint64)))
-        yield pd.DataFrame({"doc": doc, "doc_id": own["doc_id"].array, "line": line, "node": node.view(np.int64), "sim": np.where(long, sim, 0).view(np.int64), "chars": np.where(long, chars, 0)})
+        out = pd.DataFrame({"doc": doc, "doc_id": own["doc_id"].array, "line": line, "node": node.view(np.int64), "sim": np.where(long, sim, 0).view(np.int64), "chars": np.where(long, chars, 0)})
+        if grams:
+            out["grams"] = [g if x else g[:0] for g, x in zip(gram_lists(texts, chars), long, strict=True)]
+        yield out
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, line, node, sim, chars) of each line with a letter or digit.
+def occurrences(docs: DataFrame, grams: bool = False) -> DataFrame:
+    """(doc, doc_id, line, node, sim, chars, and grams if asked for) of each line with a letter or digit.
 
     doc: hash of doc_id and text; node: hash of the normalised line (of short lines, with doc);
     sim and chars (of the normalised line): 0 for short lines.
     """
     own = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
     kind = dict(docs.dtypes)["doc_id"]
-    return own.mapInPandas(released(numbered_lines), f"doc long, doc_id {kind}, line int, node long, sim long, chars long")
+    schema = f"doc long, doc_id {kind}, line int, node long, sim long, chars long" + ", grams array<int>" * grams
+    return own.mapInPandas(released(partial(numbered_lines, grams=grams)), schema)
 
 
 def keys(sim: Column, blocks: int, radius: int) -> Column:
@@ -171,6 +219,11 @@ def keys(sim: Column, blocks: int, radius: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(n), *[part[i] for i in c]) for n, c in enumerate(chosen)])
 
 
+def gram_keys(grams: Column) -> Column:
+    """The cells of a line's MinHashes: (which, its value) in a long."""
+    return F.transform(grams, lambda g, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(g.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+
+
 def same_length(chars: np.ndarray, similarity: float):
     """Pairs of rows whose lengths alone do not rule the similarity out: an edit adds one character."""
 
@@ -285,17 +338,24 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
 
 def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """(node, component) of the lines that are connected to another one. nodes: (node, sim, doc, line)."""
+    """(node, component) of the lines that are connected to another one. nodes: (node, sim, chars, doc, line, and grams to meet by them too)."""
     n = nodes.count()
     blocks = next(b for most, b in BLOCKS if most is None or n <= most)
 
-    def dealt(rows: DataFrame, *extra: str) -> DataFrame:
-        cells = rows.select(F.explode(keys(F.col("sim"), blocks, radius)).alias("cell"), "sim", "node", "chars", *extra)
-        return cells.repartition("cell").sortWithinPartitions("cell", "sim", "node")
-
+    ways = [(radius, keys(F.col("sim"), blocks, radius))] + [(GRAM_RADIUS, gram_keys(F.col("grams")))] * ("grams" in nodes.columns)
     columns, spark = ("cell", "sim", "node", "chars"), docs.sparkSession
+
+    def meeting(rows: DataFrame, join, *extra: str) -> DataFrame:
+        found = []
+        for within, own in ways:
+            cells = rows.select(F.explode(own).alias("cell"), "sim", "node", "chars", *extra)
+            dealt = cells.repartition("cell").sortWithinPartitions("cell", "sim", "node")
+            found.append(dealt.mapInPandas(released(links_in_cells(within, (*columns, *extra), join)), "a long, b long"))
+        pairs = reduce(DataFrame.union, found)
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
     with batch_rows(spark, SLIM_BATCH):
-        candidates = cut(dealt(nodes).mapInPandas(released(links_in_cells(radius, columns, candidates_in_cell(similarity))), "a long, b long").distinct())
+        candidates = cut(meeting(nodes, candidates_in_cell(similarity)))
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     known = cut(nodes.join(bounded(cut(ends)), "node"))
     texts = cut(texts_of(docs, known))
@@ -307,24 +367,23 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
         bad = failed.select(F.col("a").alias("node")).join(whole, "node").select("component").distinct()
         rest = whole.join(bad, "component", "left_semi").select("node")
         label = F.coalesce("component", "node").alias("label")
-        rest = known.join(rest, "node").join(components(good), "node", "left").select("node", "sim", "chars", label)
-        join = partial(apart, similarity=similarity)
-        pairs = dealt(rest, "label").mapInPandas(released(links_in_cells(radius, (*columns, "label"), join)), "a long, b long")
+        rest = known.join(rest, "node").join(components(good), "node", "left").select("node", "sim", "chars", *nodes.columns[5:], label)
         with batch_rows(spark, SLIM_BATCH):
-            pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            pairs = cut(meeting(rest, partial(apart, similarity=similarity), "label"))
         more = verified(pairs, texts, similarity)
         good = cut(good.union(more.where("ok").select("a", "b")))
     return components(good)
 
 
-def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False) -> DataFrame:
     """(doc, lines): the numbers of the lines to drop from each document that has such."""
-    found = cut(occurrences(docs))
+    found = cut(occurrences(docs, grams))
+    extra = ["grams"] * grams
     place = F.struct("doc_id", "doc", "line")
-    groups = cut(found.groupBy("node").agg(F.min(place).alias("rep"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("chars").alias("chars")))
-    nodes = groups.where("chars > 0").select("node", "sim", "chars", "rep.doc", "rep.line")
+    groups = cut(found.groupBy("node").agg(F.min(place).alias("rep"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("chars").alias("chars"), *[F.first(c).alias(c) for c in extra]))
+    nodes = groups.where("chars > 0").select("node", "sim", "chars", "rep.doc", "rep.line", *extra)
     comp = cut(similar_lines(docs, nodes, radius, similarity))
-    reps = groups.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    reps = groups.drop("grams").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     joined = reps.join(comp.select("component").distinct(), "component", "left_semi")
     best = joined.groupBy("component").agg(F.min("rep").alias("best"))
     joined = joined.drop("rep").join(best, "component").select("node", "best")
@@ -334,10 +393,10 @@ def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     return cut(gone.groupBy("doc").agg(F.collect_set("line").alias("lines")))
 
 
-def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False) -> DataFrame:
     """docs with their text after dedup, plus lines_in and lines_dropped."""
     own = docs.select("doc_id", "text")
-    gone = dropped_lines(own, radius, similarity).withColumnRenamed("doc", "__doc").withColumnRenamed("lines", "__gone")
+    gone = dropped_lines(own, radius, similarity, grams).withColumnRenamed("doc", "__doc").withColumnRenamed("lines", "__gone")
     def rest(lines: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")

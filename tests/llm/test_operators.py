@@ -508,3 +508,21 @@ def test_edited_likeness(frame, docs):
 def test_held_out(spark):
     got = spark.range(50).where(held_out("id")).collect()
     assert [r["id"] for r in got] == [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 0]
+
+
+def test_lines_of_the_required_similarity_meet(spark):
+    """Against edit similarity alone, whatever the SimHashes are: one or two words of a line replaced."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    lines, want = [], 0
+    for _ in range(150):
+        own = [word() for _ in range(rng.randrange(10, 40))]
+        new = list(own)
+        for i in rng.sample(range(len(own)), rng.choice([1, 2])):
+            new[i] = word()
+        lines += [" ".join(own), " ".join(new)]
+        want += line_dedup.alike(lines[-2], lines[-1], 0.8)
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    dropped = lambda **kind: sum(r["lines_dropped"] for r in line_dedup.dedup_lines(rows, **kind).collect())
+    assert want > 120 and 0.97 * want <= dropped(grams=True) <= want
+    assert dropped() < 0.5 * want
