@@ -17,7 +17,9 @@ n-grams (GRAMS), within GRAM_RADIUS bits: one replaced word of ten moves a SimHa
 most lines of the required edit similarity lie beyond any radius that pigeonhole blocks can serve.
 
 Lines of fewer than MIN_WORDS words agree by chance: they are compared for equality, and in their
-own document only. Lines without a letter or digit always stay.
+own document only. With `everywhere`, as the query and the pipeline call it, they are compared for
+equality over all documents, and a line of MIN_CHARS characters is long however few its words are
+(scripts without spaces): it is compared by its character n-grams, as are lines of over MAX_WORD characters a word. Lines without a letter or digit always stay.
 
 Defined cases: a null text stays null, an empty one empty; documents may become empty but stay;
 rows that repeat a doc_id and text are one document (all copies keep the same lines); a text without
@@ -40,7 +42,7 @@ from pyspark.sql import types as T
 from .common import SLIM_BATCH, batch_rows, bind, bounded, components, cut, released
 from .simhash_dedup import linked, links_in_cells
 
-RADIUS, MIN_WORDS, SIMILARITY = 3, 5, 0.8
+RADIUS, MIN_WORDS, MIN_CHARS, MAX_WORD, SIMILARITY = 3, 5, 40, 16, 0.8
 #: Blocks of a fingerprint by the number of distinct lines that they suffice for.
 BLOCKS = ((50_000_000, 4), (1_000_000_000, 5), (None, 6))
 #: (bytes of an n-gram, MinHashes of them, most characters of the lines that get them or None), and the
@@ -175,6 +177,13 @@ def gram_minima(texts: list[str], width: int, keys: int) -> np.ndarray:
     return np.stack([(mix(x) >> np.uint64(32)).astype(np.uint32) for x in minima], axis=1)
 
 
+def unspaced_simhash(line: str) -> np.uint64:
+    """The SimHash over a line's pairs of adjacent characters."""
+    codes = mix(np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1))
+    h = mix(codes[:-1] * np.uint64(BASE) + codes[1:])
+    return simhashes(h, np.zeros(1, np.int64), np.array([len(h)]))[0]
+
+
 def gram_lists(texts: list[str], chars: np.ndarray) -> list[np.ndarray]:
     """The MinHashes by GRAMS of each line with a word."""
     found = np.concatenate([gram_minima(texts, width, keys) for width, keys, _ in GRAMS], axis=1).view(np.int32)
@@ -184,29 +193,35 @@ def gram_lists(texts: list[str], chars: np.ndarray) -> list[np.ndarray]:
     return [g[:n] for g, n in zip(found, sizes, strict=True)]
 
 
-def numbered_lines(batches: Iterator[pd.DataFrame], grams: bool = False) -> Iterator[pd.DataFrame]:
+def numbered_lines(batches: Iterator[pd.DataFrame], grams: bool = False, everywhere: bool = False) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         texts = pdf["text"].tolist()
         row, line, node, sim, words, chars = line_table(texts)
         own = pdf[["doc", "doc_id"]].iloc[row]
         doc, long = own["doc"].to_numpy(), words >= MIN_WORDS
-        node = np.where(long, node, mix(node ^ doc.view(np.uint64)))
+        if everywhere:
+            unspaced = (chars >= MIN_CHARS) & ((words < MIN_WORDS) | (chars > MAX_WORD * words))
+            for i in np.flatnonzero(unspaced):
+                sim[i] = unspaced_simhash(b" ".join(prepared([texts[row[i]].split("\n")[line[i]]]).split()).decode())
+            long |= unspaced
+        else:
+            node = np.where(long, node, mix(node ^ doc.view(np.uint64)))
         out = pd.DataFrame({"doc": doc, "doc_id": own["doc_id"].array, "line": line, "node": node.view(np.int64), "sim": np.where(long, sim, 0).view(np.int64), "chars": np.where(long, chars, 0)})
         if grams:
             out["grams"] = [g if x else g[:0] for g, x in zip(gram_lists(texts, chars), long, strict=True)]
         yield out
 
 
-def occurrences(docs: DataFrame, grams: bool = False) -> DataFrame:
+def occurrences(docs: DataFrame, grams: bool = False, everywhere: bool = False) -> DataFrame:
     """(doc, doc_id, line, node, sim, chars, and grams if asked for) of each line with a letter or digit.
 
-    doc: hash of doc_id and text; node: hash of the normalised line (of short lines, with doc);
+    doc: hash of doc_id and text; node: hash of the normalised line (of short lines, with doc unless `everywhere`);
     sim and chars (of the normalised line): 0 for short lines.
     """
     own = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc long, doc_id {kind}, line int, node long, sim long, chars long" + ", grams array<int>" * grams
-    return own.mapInPandas(released(partial(numbered_lines, grams=grams)), schema)
+    return own.mapInPandas(released(partial(numbered_lines, grams=grams, everywhere=everywhere)), schema)
 
 
 def keys(sim: Column, blocks: int, radius: int) -> Column:
@@ -375,9 +390,9 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
     return components(good)
 
 
-def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False, everywhere: bool = False) -> DataFrame:
     """(doc, lines): the numbers of the lines to drop from each document that has such."""
-    found = cut(occurrences(docs, grams))
+    found = cut(occurrences(docs, grams, everywhere))
     extra = ["grams"] * grams
     place = F.struct("doc_id", "doc", "line")
     groups = cut(found.groupBy("node").agg(F.min(place).alias("rep"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("chars").alias("chars"), *[F.first(c).alias(c) for c in extra]))
@@ -393,10 +408,10 @@ def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     return cut(gone.groupBy("doc").agg(F.collect_set("line").alias("lines")))
 
 
-def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False, everywhere: bool = False) -> DataFrame:
     """docs with their text after dedup, plus lines_in and lines_dropped."""
     own = docs.select("doc_id", "text")
-    gone = dropped_lines(own, radius, similarity, grams).withColumnRenamed("doc", "__doc").withColumnRenamed("lines", "__gone")
+    gone = dropped_lines(own, radius, similarity, grams, everywhere).withColumnRenamed("doc", "__doc").withColumnRenamed("lines", "__gone")
     def rest(lines: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")

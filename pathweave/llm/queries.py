@@ -12,7 +12,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import line_dedup as op
 
     small_batches(spark)
-    found = op.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), grams=True)
+    found = op.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), grams=True, everywhere=True)
     return found.select("doc_id", "text", "lines_in", "lines_dropped")
 
 

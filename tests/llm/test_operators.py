@@ -526,3 +526,14 @@ def test_lines_of_the_required_similarity_meet(spark):
     dropped = lambda **kind: sum(r["lines_dropped"] for r in line_dedup.dedup_lines(rows, **kind).collect())
     assert want > 120 and 0.97 * want <= dropped(grams=True) <= want
     assert dropped() < 0.5 * want
+
+
+def test_short_and_unspaced_lines_over_all_documents(spark):
+    """A short line stays once in all; a long line without spaces also meets near copies of itself."""
+    rng = random.Random(4)
+    signs = [chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(300)]
+    changed = "".join([*signs[:100], "\u3042\u3044", *signs[102:]])
+    texts = ["read more\n" + "".join(signs), "".join(signs), changed + "\nRead more!", "read less"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(rows, grams=True, everywhere=True).collect()}
+    assert got == {0: texts[0], 1: "", 2: "", 3: "read less"}
