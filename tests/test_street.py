@@ -211,3 +211,15 @@ def test_streaming(spark, tmp_path):
         q.stop()
     assert spark.table("nodes").count() == 1 and spark.table("ways").first()["weight"] == 0.42
     assert [tuple(r) for r in spark.table("counts").collect()] == [("cafe", 1)]
+
+
+def test_connected_pairs_of_all_customers(spark, tmp_path, monkeypatch):
+    spark.range(1, 251).selectExpr("id as c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    labels = spark.createDataFrame([(k, k % 7) for k in range(1, 400) if k % 5], "node long, component long")
+    monkeypatch.setattr(street, "_components", lambda spark, d: labels)
+    targets = {k: k + 60 * (1 + k % 2) + k % 3 for k in range(1, 251)}
+    own = lambda k: k % 7 if k % 5 and k < 400 else k
+    got = {(r["source"], r["target"], r["connected"]) for r in street.connected_pairs(spark, str(tmp_path)).collect()}
+    assert {(k, t) for k, t, _ in got} == set(targets.items())
+    both = {(k, t, c) for k, t, c in got if k % 5 and t % 5}
+    assert both == {(k, t, own(k) == own(t)) for k, t in targets.items() if k % 5 and t % 5}
