@@ -183,8 +183,7 @@ def region_assign(spark, d):
 
 
 def region_complete_ways(spark, d):
-    boxes = tuple(r for r in regions.REGIONS if r[0] in ("seoul", "incheon"))
-    return regions.complete_ways(fx.nodes(spark, d), fx.ways(spark, d), boxes)
+    return regions.complete_ways(fx.nodes(spark, d), fx.ways(spark, d))
 
 
 def tag_filter_compact(spark, d):

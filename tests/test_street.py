@@ -223,3 +223,17 @@ def test_connected_pairs_of_all_customers(spark, tmp_path, monkeypatch):
     assert {(k, t) for k, t, _ in got} == set(targets.items())
     both = {(k, t, c) for k, t, c in got if k % 5 and t % 5}
     assert both == {(k, t, own(k) == own(t)) for k, t in targets.items() if k % 5 and t % 5}
+
+
+def test_region_complete_ways_of_all_regions(spark, monkeypatch):
+    nodes = [(i, (s + n) / 2, (w + e) / 2) for i, (_, w, s, e, n) in enumerate(regions.REGIONS)]
+    ways = [(100 + i, [i, (i + 1) % len(nodes), 999]) for i in range(len(nodes))]
+    monkeypatch.setattr(street.fx, "nodes", lambda spark, d: spark.createDataFrame(nodes, "id long, lat double, lon double"))
+    monkeypatch.setattr(street.fx, "ways", lambda spark, d: spark.createDataFrame(ways, "id long, refs array<long>"))
+    want = set()
+    for name, w, s, e, n in regions.REGIONS:
+        inside = {i for i, lat, lon in nodes if w <= lon <= e and s <= lat <= n}
+        touched = [(k, refs) for k, refs in ways if inside & set(refs)]
+        want |= {(name, "w", k) for k, _ in touched} | {(name, "n", i) for i in inside | {r for _, refs in touched for r in refs if r != 999}}
+    got = [tuple(r) for r in street.region_complete_ways(spark, "").collect()]
+    assert set(got) == want and len(got) == len(want)
