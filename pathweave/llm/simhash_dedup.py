@@ -190,12 +190,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return own.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def keep_one(docs: DataFrame, radius: int = RADIUS, grouped: DataFrame | None = None) -> DataFrame:
     """docs with one document (the smallest doc_id) of each group of near-duplicates, all columns.
 
+    grouped: (doc_id, component_id), by near_duplicates() unless given.
     doc_id is the document's key: rows that repeat one become one. Documents without a doc_id stay.
     """
-    found = cut(near_duplicates(docs, radius).select("doc_id", "component_id"))
+    found = cut((near_duplicates(docs, radius) if grouped is None else grouped).select("doc_id", "component_id"))
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(bounded(cut(gone)), "doc_id", "left_anti")
     repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count()

@@ -1,5 +1,7 @@
 """The pipeline against its operators one by one."""
 
+import random
+
 import corpus_pipeline
 from pathweave.llm import bpe
 
@@ -26,3 +28,21 @@ def test_stages(spark, small, tmp_path):
 def test_run(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 100
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_documents_by_five_word_shingles(spark):
+    """Against Jaccard similarity alone."""
+    rng = random.Random(2)
+    texts = []
+    for _ in range(60):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        new = list(own)
+        for i in rng.sample(range(200), rng.randrange(1, 9)):
+            new[i] = "x"
+        texts += [" ".join(own), " ".join(new)]
+    texts += ["", None]
+    rows = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.unique_documents(spark, rows, "").collect()}
+    sets = [set(zip(*[(t or "").split()[k:] for k in range(5)])) for t in texts]
+    like = {i for i in range(1, 120, 2) if len(sets[i] & sets[i - 1]) >= 0.8 * len(sets[i] | sets[i - 1])}
+    assert 20 < len(like) < 60 and kept == set(range(121)) - like
