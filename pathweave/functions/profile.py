@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,81 +27,107 @@ TAGS = (
 )
 Tags = Callable[[str], Column]
 
+# Rules are data. A test of a tag is (whether the value must be among these, these); the empty string
+# stands for a missing tag. A clause holds if all its tests do; @name asks for a condition. A list of
+# clauses holds if one of them does.
+one, none = (lambda *values: (True, values)), (lambda *values: (False, values))
+ON_FOOT, MAIN, OWN = ("footway", "pedestrian"), ("primary", "secondary", "tertiary"), ("designated", "official")
+SIDES = ("cycleway", "cycleway:left", "cycleway:right")
+PRESENT = none("")
+CONDITIONS = {
+    "bike_ok": [{"bicycle": one(*ALLOWED)}],
+    "walkable": [{"sac_scale": one(""), "surface": none(*UNSUITABLE), "foot": none(*FORBIDDEN), "highway": one(*ON_FOOT, "path"), "access": none("private")}],
+    "connector": [{"@walkable": True}, {"highway": one(*ON_FOOT, "path", "service"), "foot": one(*ALLOWED), "access": none("private")}],
+    "bridge_push": [{"highway": one(*MAIN), "bridge": one("yes"), "bicycle": one("no")}],
+    "dedicated": [{"bicycle": one(*OWN)}, {"highway": one("cycleway")}, *({side: one("track", "separate")} for side in SIDES)],
+    "lane": [{side: one("lane", "shared_lane", "share_busway")} for side in SIDES],
+    "trail": [{"sac_scale": PRESENT}, {"mtb:scale": PRESENT}, {"trail_visibility": PRESENT}, {"informal": one("yes")}, {"surface": none(*PAVED)}],
+}
+#: The first rule that holds decides: None (no way for bicycles) or (cost, flag). Beyond them the base cost counts.
+RULES = (
+    ([{"highway": one("motorway", "motorway_link", "steps")}, {"bicycle": one(*FORBIDDEN), "@bridge_push": False, "@walkable": False}], None),
+    ([{k: one(*FORBIDDEN), "@bike_ok": False, "@connector": False} for k in ("vehicle", "access")], None),
+    ([{"route": one("ferry"), "@bike_ok": False}], None),
+    ([{"route": one("ferry")}], (1.8, 0)),
+    ([{"highway": one(*ON_FOOT), "bicycle": one("yes")}], (0.72, 1)),
+    ([{"highway": one(*ON_FOOT), "bicycle": one(*OWN)}], (0.52, 1)),
+    ([{"highway": one(*ON_FOOT), "sac_scale": PRESENT}, {"highway": one(*ON_FOOT), "surface": one(*UNSUITABLE)}], None),
+    ([{"highway": one(*ON_FOOT)}], (3.8, 0)),
+    ([{"@bridge_push": True}], (8.0, 0)),
+    ([{"highway": one("path"), "@bike_ok": False, "@trail": True}], None),
+    ([{"highway": none(*BASE_COST)}, {"smoothness": one("horrible", "very_horrible", "impassable")}], None),
+)
+#: In a compact graph this rules a way out as well.
+OFF_COMPACT = [{"highway": none("path", "track", "trunk", *MAIN), "@dedicated": False, "@connector": False}]
+#: A dedicated way costs no more than this. Then the factors, in this order: of each line the first that holds.
+DEDICATED = 0.48
+FACTORS = (
+    (([{"@lane": True, "@dedicated": False}], 0.78),),
+    (([{"surface": one(*ROUGH)}], 1.35), ([{"surface": one(*UNSUITABLE)}], 1.8)),
+    (([{"smoothness": one("bad", "very_bad")}], 1.35),),
+)
+#: Then the cost is raised to the first of these that holds.
+FLOORS = (([{"@connector": True, "@bike_ok": False}], 4.2), ([{"bicycle": one("dismount")}], 2.4))
+#: P9.
+WALKED = [
+    {"bicycle": one("dismount")},
+    {"@bridge_push": True},
+    {"highway": one(*ON_FOOT, "path"), "bicycle": none("yes", *OWN)},
+    {"highway": one("footway", "path", "service"), "foot": one(*ALLOWED), "bicycle": none(*FORBIDDEN)},
+]
+
+
+def holds(clauses: list[dict], tag: Tags, shared: dict[str, Column] | None = None) -> Column:
+    """Whether one of the clauses holds. shared: conditions that are columns already."""
+
+    def test(key: str, wanted) -> Column:
+        if key.startswith("@"):
+            found = shared[key[1:]] if shared else holds(CONDITIONS[key[1:]], tag)
+            return found if wanted else ~found
+        inside, values = wanted
+        found = tag(key).isin(*values)
+        return found if inside else ~found
+
+    return reduce(or_, (reduce(and_, (test(k, v) for k, v in clause.items())) for clause in clauses))
+
 
 def conditions(tag: Tags) -> dict[str, Column]:
     """The conditions that several rules share. tag: a tag's value, the empty string if missing.
 
     A plan that makes them columns first (and passes those to profile) compiles to less code.
     """
-    highway, bicycle, foot, access, surface = (tag(k) for k in ("highway", "bicycle", "foot", "access", "surface"))
-    tracks = [tag(k) for k in ("cycleway", "cycleway:left", "cycleway:right")]
-    walkable = highway.isin("footway", "pedestrian", "path") & ~foot.isin(*FORBIDDEN) & (access != "private") & (tag("sac_scale") == "") & ~surface.isin(*UNSUITABLE)
-    any_of = lambda *kinds: tracks[0].isin(*kinds) | tracks[1].isin(*kinds) | tracks[2].isin(*kinds)
-    return {
-        "bike_ok": bicycle.isin(*ALLOWED),
-        "walkable": walkable,
-        "bridge_push": (bicycle == "no") & (tag("bridge") == "yes") & highway.isin("primary", "secondary", "tertiary"),
-        "connector": walkable | (foot.isin(*ALLOWED) & highway.isin("footway", "pedestrian", "path", "service") & (access != "private")),
-        "dedicated": (highway == "cycleway") | bicycle.isin("designated", "official") | any_of("track", "separate"),
-        "lane": any_of("lane", "shared_lane", "share_busway"),
-    }
-
-
-def _cases(cases, default: float | None = None) -> Column:
+    return {name: holds(clauses, tag) for name, clauses in CONDITIONS.items()}
+
+
+def _first(cases, default: float | None = None) -> Column:
     """The value of the first case that holds."""
-    (first, value), *rest = cases
-    out = F.when(first, F.lit(value))
-    for condition, value in rest:
-        out = out.when(condition, F.lit(value))
-    return out if default is None else out.otherwise(F.lit(default))
+    out = F.lit(default).cast("double")
+    for condition, value in reversed(list(cases)):
+        out = F.when(condition, F.lit(value)).otherwise(out)
+    return out
 
 
 def profile(tag: Tags, compact: bool = False, shared: dict[str, Column] | None = None) -> Column:
     """struct(cost, is_cycleway), null where the way is not for bicycles."""
-    c = shared or conditions(tag)
-    highway, bicycle, access, surface, smoothness = (tag(k) for k in ("highway", "bicycle", "access", "surface", "smoothness"))
-    is_path = highway == "path"
-    found = lambda cost, flag: F.struct(cost.cast("double").alias("cost"), flag.cast("int").alias("is_cycleway"))
-    fixed = lambda cost, flag: found(F.lit(cost), F.lit(flag))
-    none = F.lit(None).cast("struct<cost:double,is_cycleway:int>")
-
-    # each factor is 1 where it does not apply, so every part stands once and products keep their order
-    factor = lambda *cases: _cases(cases, 1.0)
-    base = _cases([(highway == kind, cost) for kind, cost in BASE_COST.items()])
-    base = F.least(base, _cases([(c["dedicated"], 0.48)], float("inf"))) * factor((~c["dedicated"] & c["lane"], 0.78))
-    base = base * factor((surface.isin(*ROUGH), 1.35), (surface.isin(*UNSUITABLE), 1.8)) * factor((smoothness.isin("bad", "very_bad"), 1.35))
-    base = F.greatest(base, _cases([(c["connector"] & ~c["bike_ok"], 4.2), (bicycle == "dismount", 2.4)], 0.0))
-
-    shut = lambda k: tag(k).isin(*FORBIDDEN) & ~c["bike_ok"] & ~c["connector"]
-    on_foot = highway.isin("footway", "pedestrian")
-    trail = (tag("sac_scale") != "") | (tag("trail_visibility") != "") | (tag("mtb:scale") != "") | (tag("informal") == "yes") | surface.isin(*UNSUITABLE)
-    off_compact = ~c["dedicated"] & ~c["connector"] & ~highway.isin("trunk", "primary", "secondary", "tertiary", "track", "path")
-    return (
-        F.when((bicycle.isin(*FORBIDDEN) & ~c["bridge_push"] & ~c["walkable"]) | shut("access") | shut("vehicle") | highway.isin("motorway", "motorway_link", "steps"), none)
-        .when((tag("route") == "ferry") & c["bike_ok"], fixed(1.8, 0))
-        .when(tag("route") == "ferry", none)
-        .when(on_foot & (bicycle == "yes"), fixed(0.72, 1))
-        .when(on_foot & bicycle.isin("designated", "official"), fixed(0.52, 1))
-        .when(on_foot & ((tag("sac_scale") != "") | surface.isin(*UNSUITABLE)), none)
-        .when(on_foot, fixed(3.8, 0))
-        .when(c["bridge_push"], fixed(8.0, 0))
-        .when(is_path & ~c["bike_ok"] & (trail | ~surface.isin(*PAVED)), none)
-        .when(F.lit(compact) & off_compact, none)
-        .when(~highway.isin(*BASE_COST) | smoothness.isin("horrible", "very_horrible", "impassable"), none)
-        .otherwise(found(base, c["dedicated"]))
-    )
+    on = shared or conditions(tag)
+    first = lambda cases, default: _first([(holds(c, tag, on), v) for c, v in cases], default)
+    cost = _first((tag("highway") == kind, value) for kind, value in BASE_COST.items())
+    cost = F.least(cost, F.when(on["dedicated"], DEDICATED).otherwise(float("inf")))
+    for cases in FACTORS:  # a factor is 1 where none holds, so products keep their order
+        cost = cost * first(cases, 1.0)
+    cost = F.greatest(cost, first(FLOORS, 0.0))
+
+    found = lambda value, flag: F.struct(value.cast("double").alias("cost"), flag.cast("int").alias("is_cycleway"))
+    nothing = F.lit(None).cast("struct<cost:double,is_cycleway:int>")
+    out = found(cost, on["dedicated"])
+    for clauses, outcome in reversed([*RULES, *[(OFF_COMPACT, None)] * compact]):
+        out = F.when(holds(clauses, tag, on), found(*map(F.lit, outcome)) if outcome else nothing).otherwise(out)
+    return out
 
 
 def is_dismount(tag: Tags) -> Column:
     """1 where a rider walks; it does not depend on the profile."""
-    highway, bicycle, foot = tag("highway"), tag("bicycle"), tag("foot")
-    push = (
-        (bicycle == "dismount")
-        | (highway.isin("footway", "pedestrian", "path") & ~bicycle.isin("yes", "designated", "official"))
-        | ((bicycle == "no") & (tag("bridge") == "yes") & highway.isin("primary", "secondary", "tertiary"))
-        | (foot.isin(*ALLOWED) & highway.isin("footway", "path", "service") & ~bicycle.isin(*FORBIDDEN))
-    )
-    return push.cast("int")
+    return holds(WALKED, tag).cast("int")
 
 
 def direction(tag: Tags, has: Callable[[str], Column]) -> Column:

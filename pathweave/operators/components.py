@@ -1,4 +1,4 @@
-"""Connected components (A9, A10) by label propagation with pointer jumping."""
+"""Connected components (A9, A10) by hooking of trees and pointer jumping."""
 
 from __future__ import annotations
 
@@ -11,22 +11,38 @@ from pathweave.session import cut, forget
 def components(edges: DataFrame) -> DataFrame:
     """(node, component = smallest node) of undirected edges (a, b: long).
 
-    Labels take the smallest label of their neighbours and then their label's label, round by
-    round, until none changes; each round is a table in the checkpoint folder and nothing but a flag comes to the driver.
-    A node whose only edges are loops is its own component.
+    Every node points to a parent, at first its smallest neighbour. A round takes for each node the
+    least grandparent among its neighbours; the node takes it as its parent, and so does the node's
+    old parent, so whole trees hook onto smaller ones. Then pointers jump. Rounds grow as the
+    logarithm of the number of nodes, chains in any order included: the last round is that in which
+    no grandparent changes. Rounds are tables in the checkpoint folder, and only a flag comes to the
+    driver. A hub's edges are aggregated before each shuffle; what joins them has one row a node, so
+    Spark can split a hub's partition.
+
+    A node whose only edges are loops is its own component; a null end makes no edge.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")))
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("mid"))
-        up = step.select(F.col("node").alias("mid"), F.col("mid").alias("top"))
-        done, step = labels, cut(step.join(up, "mid", "left").select("node", "old", F.least("mid", "top").alias("label")))
-        forget(done)
-        labels = step.select("node", "label")
-        labels.cut_path = step.cut_path
-        if step.where("label <> old").limit(1).count() == 0:
-            return labels.select("node", F.col("label").alias("component"))
+    known = edges.where("a is not null and b is not null")
+    both = cut(known.select("a", "b").union(known.select("b", "a")).distinct())
+    first = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("up"))
+    trees = jumped(first.select("node", "up", F.lit(None).cast("bigint").alias("old")))
+    while trees.where("not (top <=> old)").limit(1).count():
+        near = both.join(trees.select(F.col("node").alias("b"), "top"), "b").groupBy(F.col("a").alias("node")).agg(F.min("top").alias("near"))
+        own = cut(trees.select("node", "up", "top").join(near, "node"))
+        hook = own.groupBy(F.col("up").alias("node")).agg(F.min("near").alias("hook"))
+        new = own.join(hook, "node", "left").select("node", F.least("top", "near", "hook").alias("up"), F.col("top").alias("old"))
+        done, trees = trees, jumped(new)
+        forget(done, own)
+    forget(both)
+    out = trees.select("node", F.col("top").alias("component"))
+    out.cut_path = trees.cut_path
+    return out
+
+
+def jumped(trees: DataFrame) -> DataFrame:
+    """(node, up, old) plus top, the parent's parent."""
+    # roots point to themselves: only the others' parents are looked up
+    inner = trees.where("node <> up").select(F.col("node").alias("up"), F.col("up").alias("above"))
+    return cut(trees.join(inner, "up", "left").select("node", "up", "old", F.coalesce("above", "up").alias("top")))
 
 
 def same_component(labels: DataFrame, pairs: DataFrame) -> DataFrame:

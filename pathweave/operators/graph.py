@@ -36,17 +36,17 @@ def segments(ways: DataFrame) -> DataFrame:
 def edges_raw(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """Directed edges before dedup: (src, dst, meters, cost, is_cycleway, is_dismount, ord, pos, step).
 
-    Refs meet the node table once; a window over each way then pairs neighbours. A segment needs
-    both of its nodes: a missing one breaks the way and is not bridged (F8).
+    A way's refs carry what edges need of it, so ways are read once. Refs meet the node table once; a
+    window over each way then pairs neighbours. A segment needs both of its nodes: a missing one
+    breaks the way and is not bridged (F8).
     """
-    refs = ways.select("ord", F.posexplode("refs").alias("pos", "ref"))
+    carried = ("weight", "is_cycleway", "is_dismount", "dir")
+    refs = ways.where(F.size("refs") >= 2).select("ord", *carried, F.posexplode("refs").alias("pos", "ref"))
     known = refs.join(nodes.select(F.col("id").alias("ref"), "lat", "lon"), "ref")
-    w = Window.partitionBy("ord").orderBy("pos")
-    nxt = lambda c: F.lead(c).over(w)
-    seg = known.select("ord", "pos", F.col("ref").alias("a"), "lat", "lon", nxt("pos").alias("pos2"), nxt("ref").alias("b"), nxt("lat").alias("lat2"), nxt("lon").alias("lon2"))
-    meters = haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-    seg = seg.where("pos2 = pos + 1").select("ord", (F.col("pos") + 1).cast("bigint").alias("pos"), "a", "b", meters.alias("meters"))
-    own = seg.join(ways.select("ord", "weight", "is_cycleway", "is_dismount", "dir"), "ord")
+    end = F.lead(F.struct("pos", "ref", "lat", "lon")).over(Window.partitionBy("ord").orderBy("pos"))
+    seg = known.select("ord", *carried, "pos", F.col("ref").alias("a"), "lat", "lon", end.alias("z")).where("z.pos = pos + 1")
+    meters = haversine(F.col("lat"), F.col("lon"), F.col("z.lat"), F.col("z.lon"))
+    own = seg.select("ord", *carried, F.col("z.pos").cast("bigint").alias("pos"), "a", F.col("z.ref").alias("b"), meters.alias("meters"))
     step = lambda a, b, n: F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), F.lit(n).alias("step"))
     fwd, rev = step("a", "b", 0), step("b", "a", 1)
     steps = F.when(F.col("dir") == "fwd", F.array(fwd)).when(F.col("dir") == "rev", F.array(rev)).otherwise(F.array(fwd, rev))

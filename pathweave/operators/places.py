@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathweave.operators.dedup import last_wins
+from pathweave.session import cut
 
 # Keys that make an object a place; the order is our priority for its category.
 ACCEPTED = ("amenity", "shop", "tourism", "leisure", "place", "building", "office", "healthcare", "public_transport", "railway")
@@ -20,7 +24,11 @@ def centroids(ways: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def places(elements: DataFrame) -> DataFrame:
-    """The place rows of (ord, kind, id, lat, lon, tags, refs); nodes without coordinates vanish."""
+    """The place rows of (ord, kind, id, lat, lon, tags, refs); nodes without coordinates vanish.
+
+    Elements are parsed once, into a table: nodes as places, nodes as coordinates and ways read it.
+    """
+    elements = cut(elements)
     located = elements.where("kind = 'n' and lat is not null and lon is not null")
     ways = elements.where("kind = 'w'")
     middle = centroids(ways.select("id", "refs"), last_wins(located.select("id", "lat", "lon", "ord"), ["id"], F.col("ord")))
@@ -50,9 +58,30 @@ def described(rows: DataFrame) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=1)
+def _bare_letters() -> tuple[str, str]:
+    """Letters with marks and, at the same place, the letter alone; then the marks, which go."""
+    pairs, marks = [], []
+    for code in range(0x80, 0x10000):
+        char = chr(code)
+        if unicodedata.category(char) == "Mn":
+            marks.append(char)
+            continue
+        base, *rest = unicodedata.normalize("NFD", char)
+        if rest and all(unicodedata.category(c) == "Mn" for c in rest):
+            pairs.append((char, base))
+    return "".join(a for a, _ in pairs) + "".join(marks), "".join(b for _, b in pairs)
+
+
+def folded(text: Column) -> Column:
+    """Lower case without diacritics."""
+    low = F.lower(text)
+    return F.when(low.rlike(r"[^\x00-\x7f]"), F.translate(low, *_bare_letters())).otherwise(low)
+
+
 def terms(text: Column) -> Column:
-    """Runs of letters and digits, lower case."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    """Runs of letters and digits, case folded, without diacritics."""
+    return F.filter(F.split(folded(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
 def postings(index: DataFrame, columns: tuple[str, ...] = INDEXED) -> DataFrame:
@@ -78,4 +107,25 @@ def bm25(index: DataFrame, query: str, k1: float = 1.2, b: float = 0.75) -> Data
 
 
 def _split(query: str) -> list[str]:
-    return "".join(c if c.isalnum() else " " for c in query.lower()).split()
+    plain = "".join(c for c in unicodedata.normalize("NFD", query.casefold()) if unicodedata.category(c) != "Mn")
+    return "".join(c if c.isalnum() else " " for c in unicodedata.normalize("NFC", plain)).split()
+
+
+def match(posted: DataFrame, query: str) -> DataFrame:
+    """(id) of the rows that hold every term of the query in any column; a last `*` asks for a prefix.
+
+    posted: postings(), which a table sorted by term serves with a range scan for each term.
+    """
+    asked, prefix = _split(query), query.rstrip().endswith("*")
+    own = None
+    for i, term in enumerate(asked):
+        hit = F.col("term").startswith(term) if prefix and i + 1 == len(asked) else F.col("term") == term
+        ids = posted.where(hit).select("id").distinct()
+        own = ids if own is None else own.join(ids, "id", "left_semi")
+    return posted.select("id").limit(0) if own is None else own
+
+
+def write_index(index: DataFrame, folder: str) -> None:
+    """The place rows, and their postings range sorted by term."""
+    index.write.mode("overwrite").parquet(f"{folder}/places")
+    postings(index).repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{folder}/postings")

@@ -51,6 +51,25 @@ def read_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("tile").agg(F.min_by("content", "rank").alias("content"))
 
 
+def packed(tiles: DataFrame, zipped: list[str]) -> DataFrame:
+    """(file, content) of tiles (tile, content): archives for the tiles named, plain files for the others."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for tile, content in zip(pdf["tile"], pdf["content"], strict=True):
+                if tile not in zipped:
+                    rows.append((SPELLINGS[0].format(tile), content))
+                    continue
+                held = io.BytesIO()
+                with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(f"{tile}.hgt", content)
+                rows.append((SPELLINGS[1].format(tile), held.getvalue()))
+            yield pd.DataFrame(rows, columns=["file", "content"])
+
+    return tiles.select("tile", "content").mapInPandas(run, "file string, content binary")
+
+
 def interpolate(content: bytes | None, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
     """Bilinear over the four samples around; voids count as 0; half-even rounding.
 

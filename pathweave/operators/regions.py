@@ -1,10 +1,12 @@
-"""Regional extracts and tag filters (F1-F4, J7), all regions in one job."""
+"""Regional extracts and tag filters (F1-F4, J7, P25), all regions in one job."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pathweave.session import cut
+
 # Region id, west, south, east, north.
 REGIONS = (
     ("seoul", 126.76, 37.41, 127.20, 37.72),
@@ -48,10 +50,11 @@ def region_nodes(nodes: DataFrame, boxes: tuple = REGIONS) -> DataFrame:
 
 def complete_ways(nodes: DataFrame, ways: DataFrame, boxes: tuple = REGIONS) -> DataFrame:
     """(region, kind, id): nodes in the box, ways with a node there, and all nodes of those ways."""
+    nodes = cut(nodes.select("id", "lat", "lon"))  # nodes and refs are read several times, but parsed once
     inside = region_nodes(nodes, boxes)
-    refs = ways.select(F.col("id").alias("way"), F.explode("refs").alias("ref"))
-    touched = refs.join(inside.withColumnRenamed("id", "ref"), "ref").select("region", "way").distinct()
-    known = refs.join(nodes.select(F.col("id").alias("ref")), "ref", "left_semi")
+    refs = cut(ways.select(F.col("id").alias("way"), F.explode("refs").alias("ref")).join(nodes.select(F.col("id").alias("ref")), "ref", "left_semi"))
+    touched = cut(refs.join(inside.withColumnRenamed("id", "ref"), "ref").select("region", "way").distinct())
+    known = refs
     whole = touched.join(known, "way").select("region", F.col("ref").alias("id"))
     row = lambda df, kind: df.select("region", F.lit(kind).alias("kind"), "id")
     return row(inside.union(whole.select("region", "id")).distinct(), "n").unionByName(row(touched.withColumnRenamed("way", "id"), "w"))
@@ -62,10 +65,21 @@ def compact_way(tag) -> Column:
     return tag("highway").isin(*COMPACT_HIGHWAYS) | tag("bicycle").isin("designated", "official")
 
 
+def detail_way(tags: Column) -> Column:
+    """F3, of a way: any highway."""
+    return F.map_contains_key(tags, F.lit("highway"))
+
+
+def named(tags: Column) -> Column:
+    """F4, of a node or way: a name, empty or not. Relations have no reader, so none are kept."""
+    return F.map_contains_key(tags, F.lit("name"))
+
+
 def tag_filter(nodes: DataFrame, ways: DataFrame, keep_way: Column, keep_node: Column) -> DataFrame:
     """(kind, id) of the objects that match and the nodes that matching ways refer to."""
-    kept = ways.where(keep_way)
+    kept = cut(ways.where(keep_way).select("id", "refs"))
+    nodes = cut(nodes.select("id", keep_node.alias("keep")))
     refs = kept.select(F.explode("refs").alias("id")).distinct()
     referred = nodes.join(refs, "id", "left_semi").select("id")
-    found = nodes.where(keep_node).select("id").union(referred).distinct()
+    found = nodes.where("keep").select("id").union(referred).distinct()
     return found.select(F.lit("n").alias("kind"), "id").unionByName(kept.select(F.lit("w").alias("kind"), "id"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import os
+import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC, datetime, timedelta, timezone
 from pathlib import Path
+from typing import IO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +48,35 @@ def totals(rows: DataFrame) -> DataFrame:
     return out.withColumn("ratio", F.when(F.col("original") > 0, F.format_string("%.3f", F.col("transfer") / F.col("original"))))
 
 
+@contextmanager
+def installed(target: Path) -> Iterator[IO[bytes]]:
+    """A file to write that stands under its name only when it is whole (M6): a task that dies, or a
+    second try of one beside it, never leaves a part of it there.
+    """
+    part = target.with_name(f".{target.name}.{uuid.uuid4().hex}")
+    try:
+        with open(part, "wb") as f:
+            yield f
+        os.replace(part, target)
+    finally:
+        part.unlink(missing_ok=True)
+
+
+def store_assets(files: DataFrame, folder: str) -> DataFrame:
+    """Write rows (file, content) as files of a shared folder; (path) of each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        for pdf in batches:
+            paths = [Path(folder) / name for name in pdf["file"]]
+            for path, content in zip(paths, pdf["content"], strict=True):
+                with installed(path) as f:
+                    f.write(content)
+            yield pd.DataFrame({"path": [str(p) for p in paths]})
+
+    return files.select("file", "content").mapInPandas(run, "path string")
+
+
 def hashed(paths: DataFrame) -> DataFrame:
     """Paths (path) as (path, size, sha256), read in chunks on the executors from a shared folder.
 
@@ -77,7 +110,7 @@ def require(found: DataFrame) -> DataFrame:
 
 
 def compressed(paths: DataFrame, out: str, codec: str = "gzip") -> DataFrame:
-    """Write each file compressed to a shared folder unless a newer one is there;
+    """Write each file compressed to a folder that all executors share unless a newer one is there;
     (path, downloadFile, downloadSize, downloadSHA256, compression). Codecs: gzip, zlib.
     """
     ending = {"gzip": "gz", "zlib": "zz"}[codec]
@@ -90,7 +123,7 @@ def compressed(paths: DataFrame, out: str, codec: str = "gzip") -> DataFrame:
                 source, target = Path(path), Path(out) / f"{Path(path).name}.{ending}"
                 if not target.exists() or target.stat().st_mtime < source.stat().st_mtime:
                     pack = zlib.compressobj(9, zlib.DEFLATED, 31 if codec == "gzip" else 15)
-                    with open(source, "rb") as f, open(target, "wb") as t:
+                    with open(source, "rb") as f, installed(target) as t:
                         while part := f.read(CHUNK):
                             t.write(pack.compress(part))
                         t.write(pack.flush())
@@ -163,7 +196,8 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     """The one row as JSON, indent 2, non-ASCII kept, a line feed at the end; nulls are left out."""
     row = manifest.limit(1).collect()[0].asDict(recursive=True)
     full = lambda x: {k: full(v) for k, v in x.items() if v is not None} if isinstance(x, dict) else [full(v) for v in x] if isinstance(x, list) else x
-    Path(path).write_text(json.dumps(full(row), ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+    with installed(Path(path)) as f:
+        f.write((json.dumps(full(row), ensure_ascii=False, indent=2) + "\n").encode())
 
 
 def unpack(content: bytes, codec: str) -> bytes:

@@ -115,6 +115,23 @@ pl as (select concat('n', id) as id, lat, lon, coalesce(nullif(name, ''), nullif
 place as (select id, n as name, name_ko, '' as name_en, c as subtitle, lat as latitude, lon as longitude,
   concat_ws(' ', n, nullif(name_ko, ''), c, brand) as "searchTerms" from pl where n is not null)"""
 
+_pairs = (
+    "select source, target, coalesce(coalesce(a.component, source) = coalesce(b.component, target), false) as connected from "
+    "(select c_custkey as source, c_custkey + 60 * (1 + c_custkey % 2) + c_custkey % 3 as target from customer) "
+    "left join comp a on a.node = source left join comp b on b.node = target"
+)
+_terms = "list_filter(regexp_split_to_array(strip_accents(lower({0})), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+
+
+def _kept(ways: str, nodes: str) -> str:
+    """A tag filter's rows: ways that match, and nodes that match or that they refer to."""
+    return q(
+        f"keep as (select id from fx_way where ({ways}) and id in (select way_id from fx_ref))"
+        f" select 'n' as kind, id from fx_node where {nodes} or id in (select ref from fx_ref where way_id in (select id from keep))"
+        " union all select 'w', id from keep"
+    ).replace("\nkeep as", ",\nkeep as")
+
+
 ORACLE: dict[str, str] = {
     "opl_nodes": q("select id, round(lat, 7) as lat, round(lon, 7) as lon, amenity, name, name_ko, brand from fx_node"),
     "opl_ways": q(
@@ -150,30 +167,31 @@ ORACLE: dict[str, str] = {
         + ") order by score, graph, id limit 1"
     ),
     "components": q("select node, component from comp", PROFILE, EDGES, COMPONENTS, recursive=True),
-    "connected_pairs": q(
-        "select source, target, coalesce(coalesce(a.component, source) = coalesce(b.component, target), false) as connected from "
-        "(select c_custkey as source, c_custkey + 60 * (1 + c_custkey % 2) + c_custkey % 3 as target from customer where c_custkey <= 100) "
-        "left join comp a on a.node = source left join comp b on b.node = target",
-        PROFILE, EDGES, COMPONENTS, recursive=True,
-    ),
+    "connected_pairs": q(_pairs, PROFILE, EDGES, COMPONENTS, recursive=True),
+    "connected_across": q(_pairs, PROFILE, EDGES, COMPONENTS, recursive=True),
     "way_centroids": q("select way_id as id, round(avg(lat), 7) as lat, round(avg(lon), 7) as lon from fx_ref join fx_node on fx_node.id = ref where way_id in (select id from fx_way) group by way_id"),
     "places": q('select id, name, name_ko, name_en, subtitle, round(latitude, 7) as latitude, round(longitude, 7) as longitude, "searchTerms" from place', PLACES),
     "place_tokens": q("""select term, 'searchTerms' as "column", id, cast(pos - 1 as bigint) as pos from (
         select id, unnest(ts) as term, generate_subscripts(ts, 1) as pos from (
-          select id, list_filter(regexp_split_to_array(lower("searchTerms"), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as ts from place))""", PLACES),
+          select id, """ + _terms.format('"searchTerms"') + """ as ts from place))""", PLACES),
+    "place_match": q("select id from (select id, " + _terms.format("concat_ws(' ', name, name_ko, subtitle, \"searchTerms\")") + """ as ts from place)
+        where list_contains(ts, 'toilets') and len(list_filter(ts, lambda x: starts_with(x, '아라1'))) > 0""", PLACES),
+    "folded_terms": f"select term, count(*) as n from (select unnest({_terms.format('text')}) as term from documents) group by term",
+    "opl_files": q("select 'n' as kind, id, cast((amenity is not null)::int + (name is not null)::int + (name_ko is not null)::int + (brand is not null)::int as bigint) as n_tags, cast(0 as bigint) as n_refs from fx_node union all "
+        f"select 'w', w.id, cast({' + '.join(f'(w.{c} is not null)::int' for c in WAY_TAGS)} as bigint), r.n from fx_way w join (select way_id, count(*) as n from fx_ref group by 1) r on r.way_id = w.id"),
+    "route_points": q("select cast(row_number() over (order by idx) - 1 as bigint) as idx, cast(route_id as int) as route_id, cast(sequence as int) as sequence, lat, lon from fx_official where route_id between 1 and 13 and idx % 9 <> 4"),
+    "elevation_files": q("select id, case when lat < 38 and lon < 128 then cast(round_even(3 * ((floor(lat) + 1 - lat) * 1200) + 2 * ((lon - floor(lon)) * 1200), 0) as int) else 0 end as ele from fx_node"),
     "region_assign": q("select r.id as region, n.id from fx_node n join region r on n.lon between west and east and n.lat between south and north", REGION),
     "region_complete_ways": q(
-        "inside as (select r.id as region, n.id from fx_node n join region r on n.lon between west and east and n.lat between south and north where r.id in ('seoul', 'incheon')),"
+        "inside as (select r.id as region, n.id from fx_node n join region r on n.lon between west and east and n.lat between south and north),"
         " touched as (select distinct region, way_id from inside join fx_ref on ref = inside.id where way_id in (select id from fx_way))"
         " select region, 'n' as kind, id from (select region, id from inside union select region, ref from touched join fx_ref using (way_id) where ref in (select id from fx_node))"
         " union all select region, 'w', way_id from touched",
         REGION,
     ).replace("\ninside as", ",\ninside as"),
-    "tag_filter_compact": q(
-        f"keep as (select id from fx_way where ({_in('highway', COMPACT_HIGHWAYS)} or bicycle in ('designated', 'official')) and id in (select way_id from fx_ref))"
-        " select 'n' as kind, id from fx_node where amenity in ('drinking_water', 'toilets') or id in (select ref from fx_ref where way_id in (select id from keep))"
-        " union all select 'w', id from keep"
-    ).replace("\nkeep as", ",\nkeep as"),
+    "tag_filter_compact": _kept(f"{_in('highway', COMPACT_HIGHWAYS)} or bicycle in ('designated', 'official')", "amenity in ('drinking_water', 'toilets')"),
+    "tag_filter_detail": _kept("highway is not null", "amenity in ('drinking_water', 'toilets')"),
+    "tag_filter_named": _kept("false", "name is not null"),
     "region_quadrants": f"""with {REGION}, m as (select *, round((west + east) / 2, 6) as x, round((south + north) / 2, 6) as y from region)
         select id, 'SW' as quadrant, west as q_west, south as q_south, x as q_east, y as q_north from m union all select id, 'SE', x, south, east, y from m
         union all select id, 'NW', west, y, x, north from m union all select id, 'NE', x, y, east, north from m""",

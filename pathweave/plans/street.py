@@ -14,8 +14,8 @@ from pathweave.operators.components import components, same_component
 from pathweave.operators.dedup import first_wins
 from pathweave.plans import fixtures as fx
 from pathweave.plans.oracle import ORACLE, POINTS
-from pathweave.session import prepare
-from pathweave.sources import opl, routes, tiles
+from pathweave.session import cut, prepare, shared_folder
+from pathweave.sources import opl, routes, store, tiles
 
 Frame = DataFrame
 
@@ -155,10 +155,13 @@ def components_query(spark, d):
     return _components(spark, d)
 
 
-def connected_pairs(spark, d):
+def _customer_pairs(spark, d):
     key = F.col("c_custkey")
-    pairs = spark.read.parquet(f"{d}/customer.parquet").select(key.alias("source"), (key + 60 * (1 + key % 2) + key % 3).alias("target"))
-    return same_component(_components(spark, d), pairs)
+    return spark.read.parquet(f"{d}/customer.parquet").select(key.alias("source"), (key + 60 * (1 + key % 2) + key % 3).alias("target"))
+
+
+def connected_pairs(spark, d):
+    return same_component(_components(spark, d), _customer_pairs(spark, d))
 
 
 def way_centroids(spark, d):
@@ -229,9 +232,80 @@ def manifest_totals(spark, d):
     return release.totals(release.assets(_manifest(spark, d)))
 
 
+def _local(folder: str) -> str:
+    """A shared folder as the path under which all machines mount it."""
+    return folder.removeprefix("file:").replace("//", "/") if folder.startswith("file:") else folder
+
+
 def asset_sha256(spark, d):
-    pages = spark.read.parquet(f"{d}/pages.parquet")
-    return pages.select("page_id", F.octet_length("html").cast("bigint").alias("size"), F.sha2("html", 256).alias("sha256"))
+    """The pages as files of the shared folder, hashed chunk by chunk."""
+    pages = spark.read.parquet(f"{d}/pages.parquet").select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("file"), F.encode("html", "UTF-8").alias("content"))
+    paths = cut(release.store_assets(pages, _local(shared_folder(spark))))
+    found = release.require(cut(release.hashed(paths)))
+    return found.select(F.regexp_extract("path", r"([0-9]+)\.html$", 1).cast("bigint").alias("page_id"), "size", "sha256")
+
+
+def opl_files(spark, d):
+    """The network as OPL text files, read back."""
+    folder = shared_folder(spark)
+    for kind, rows in (("nodes", fx.node_lines(spark, d)), ("ways", fx.way_lines(spark, d))):
+        rows.select("value").write.text(f"{folder}/{kind}")
+    lines = opl.read_lines(spark, f"{folder}/nodes", f"{folder}/ways")
+    row = lambda df, kind, n: df.select(F.lit(kind).alias("kind"), "id", F.size("tags").cast("bigint").alias("n_tags"), n.cast("bigint").alias("n_refs"))
+    return row(opl.nodes(lines), "n", F.lit(0)).unionByName(row(opl.ways(lines), "w", F.size("refs")))
+
+
+def route_points(spark, d):
+    """The curated points as a CSV with a byte order mark, read back and numbered in file order."""
+    names = {ours: theirs for theirs, ours in routes.COLUMNS.items()}
+    rows = fx.official(spark, d).select("idx", *names)
+    text = rows.select("idx", *[F.when(F.col("idx") % 9 == 4, F.lit("?")).otherwise(F.col(c).cast("string")).alias(f"\ufeff{n}" if i == 0 else n) for i, (c, n) in enumerate(names.items())])
+    folder = shared_folder(spark)
+    text.repartitionByRange(1, "idx").sortWithinPartitions("idx").drop("idx").write.option("header", True).csv(folder)  # one file of a dimension table
+    return routes.read_points(spark, folder)
+
+
+def elevation_files(spark, d):
+    """Elevations from raster files, one of them in an archive (S8, J6); other tiles are missing and count as 0."""
+    folder = shared_folder(spark)
+    made = raster.plane_tiles(spark, ["N37E126", "N37E127"], 3, 2)
+    cut(release.store_assets(raster.packed(made, ["N37E127"]), _local(folder)))
+    return raster.elevations(fx.nodes(spark, d), raster.read_tiles(spark, folder)).select("id", "ele")
+
+
+def tag_filter_detail(spark, d):
+    amenity = F.coalesce(F.try_element_at("tags", F.lit("amenity")).isin("drinking_water", "toilets"), F.lit(False))
+    return regions.tag_filter(fx.nodes(spark, d), fx.ways(spark, d), regions.detail_way(F.col("tags")), amenity)
+
+
+def tag_filter_named(spark, d):
+    return regions.tag_filter(fx.nodes(spark, d), fx.ways(spark, d), regions.named(F.col("tags")), regions.named(F.col("tags")))
+
+
+def connected_across(spark, d):
+    """Three graphs in stores of their own, stitched by node id (S12, S13, J10): which customers' nodes are connected?"""
+    edges, nodes = cut(_edges(spark, d)), cut(fx.nodes(spark, d).select("id", "lat", "lon"))
+    folder = shared_folder(spark)
+    for part in range(3):
+        own = lambda c, part=part: F.pmod(F.col(c), F.lit(3)) == part
+        store.write_graph({"edges": edges.where(own("src")), "nodes": nodes.where(own("id")), "metadata": store.metadata(spark, "detail")}, f"{folder}/{part}")
+    whole = store.read_graph(spark, *[f"{folder}/{part}" for part in range(3)])
+    labels = components(whole["edges"].select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    return same_component(labels, _customer_pairs(spark, d))
+
+
+def folded_terms(spark, d):
+    """The search terms of texts in several languages, folded."""
+    prepare(spark)
+    term = F.explode(places.terms(F.coalesce("text", F.lit("")))).alias("term")
+    return spark.read.parquet(f"{d}/documents.parquet").select(term).groupBy("term").agg(F.count("*").alias("n"))
+
+
+def place_match(spark, d):
+    """Places that hold a term and a term of a prefix (T1, K9), from the index as stored."""
+    folder = shared_folder(spark)
+    places.write_index(_places(spark, d), folder)
+    return places.match(spark.read.parquet(f"{folder}/postings"), "Toilets 아라1*")
 
 
 RENAMED = {"components_query": "components", "places_query": "places"}
@@ -241,6 +315,7 @@ QUERIES = (
     tile_names, official_nearest, official_nodes, edges_discounted, nearest_node, nearest_node_multi, components_query,
     connected_pairs, way_centroids, places_query, place_tokens, region_assign, region_complete_ways, tag_filter_compact,
     region_quadrants, tile_layers, elevation_bilinear, dem_catalogue, manifest_assets, manifest_totals, asset_sha256,
+    opl_files, route_points, elevation_files, tag_filter_detail, tag_filter_named, connected_across, folded_terms, place_match,
 )
 
 

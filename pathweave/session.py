@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +28,29 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where the session names none."""
+    """The cluster's spark.checkpoint.dir. A temporary folder stands in for it only in local mode, where
+    driver and executors are one process; a cluster without the setting is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt"))
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for what runs inside; what held before holds again afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
     """Delete a folder of the shared store, now or when the application ends."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -40,20 +58,29 @@ def delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
     store.deleteOnExit(place) if at_exit else store.delete(place, True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the checkpoint folder, for files of this application; it goes when that ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    delete(spark, path, at_exit=True)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows with the lineage cut: a table in the shared checkpoint folder.
 
-    A lost executor costs nothing, as any other can read the table. It goes when the application ends.
+    A lost executor costs nothing, as any other can read the table. Shuffle files of the plan go as
+    soon as the table is written; the table goes with forget() or when the application ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    delete(spark, path, at_exit=True)
+    path = shared_folder(spark)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
 
 
-def forget(df: DataFrame) -> None:
-    """Delete the table behind a frame that cut() made and that nothing reads any more."""
-    delete(df.sparkSession, df.cut_path)
+def forget(*tables: DataFrame) -> None:
+    """Delete the tables behind frames that cut() made and that nothing reads any more."""
+    for df in tables:
+        delete(df.sparkSession, df.cut_path)

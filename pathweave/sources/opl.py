@@ -34,17 +34,27 @@ def decode(text: Column) -> Column:
     return F.when(~F.contains(text, F.lit("%")), text).when(~F.exists(tokens, bad), whole)
 
 
+#: What encode() leaves as it is.
+PLAIN = "[A-Za-z0-9_:.;/-]"
+
+
 def encode(text: Column) -> Column:
     """The inverse of decode: all but ASCII letters, digits and a few signs as %hex%."""
     chars = F.split(text, "")
     code = lambda c: F.ltrim(F.lower(F.hex(F.encode(c, "UTF-32"))), F.lit("0"))
-    return F.array_join(F.transform(chars, lambda c: F.when(c.rlike("^[A-Za-z0-9_:.;/-]?$"), c).otherwise(F.concat(F.lit("%"), code(c), F.lit("%")))), "")
+    coded = F.array_join(F.transform(chars, lambda c: F.when(c.rlike(f"^{PLAIN}?$"), c).otherwise(F.concat(F.lit("%"), code(c), F.lit("%")))), "")
+    return F.when(text.rlike(rf"\A{PLAIN}*\z"), text).otherwise(coded)
 
 
 def tags(raw: Column) -> Column:
-    """`k=v,k=v` as a map; items without = are dropped, the last of equal keys stays."""
-    pairs = F.map_filter(F.str_to_map(raw, F.lit(","), F.lit("=")), lambda k, v: v.isNotNull() & decode(k).isNotNull())
-    return F.transform_keys(F.transform_values(pairs, lambda k, v: decode(v)), lambda k, v: decode(k))
+    """`k=v,k=v` as a map; items without = are dropped, the last of equal keys stays.
+
+    Text without an escape, which is most of it, is split and no more.
+    """
+    pairs = F.map_filter(F.str_to_map(raw, F.lit(","), F.lit("=")), lambda k, v: v.isNotNull())
+    items = F.transform(F.map_entries(pairs), lambda e: F.struct(decode(e["key"]).alias("key"), decode(e["value"]).alias("value")))
+    decoded = F.map_from_entries(F.filter(items, lambda e: e["key"].isNotNull()))
+    return F.when(~F.contains(raw, F.lit("%")), pairs).otherwise(decoded)
 
 
 def tag(bag: Column, key: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathweave.operators.dedup import first_wins
+from pathweave.operators.ranking import global_rank
 from pathweave.operators.spatial_join import nearest_within
 
 # Ids and names of the curated routes.
@@ -30,18 +31,11 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
     raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
-    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     kinds = {"sequence": "int", "route_id": "int", "lat": "double", "lon": "double"}
-    own = raw.select(*[F.trim(F.col(f"`{c}`")).try_cast(kinds[n]).alias(n) for c, n in COLUMNS.items()], *[p.alias(f"__p{i}") for i, p in enumerate(place)])
-    return numbered(own.dropna(subset=list(kinds)).where(F.col("route_id").between(1, len(ROUTES))))
-
-
-def numbered(rows: DataFrame) -> DataFrame:
-    """Rows with idx from 0 in the order of their place, without one task for all rows."""
-    place = [c for c in rows.columns if c.startswith("__p")]
-    ordered = rows.orderBy(*place).drop(*place)
-    pairs = ordered.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    return rows.sparkSession.createDataFrame(pairs, "sequence int, route_id int, lat double, lon double, idx bigint").select("idx", "route_id", "sequence", "lat", "lon")
+    own = raw.select(*[F.trim(F.col(f"`{c}`")).try_cast(kinds[n]).alias(n) for c, n in COLUMNS.items()], place.alias("place"))
+    known = own.dropna(subset=list(kinds)).where(F.col("route_id").between(1, len(ROUTES)))
+    return global_rank(known, [F.col("place")], "idx").select("idx", "route_id", "sequence", "lat", "lon")
 
 
 def official_nodes(points: DataFrame, nodes: DataFrame) -> DataFrame:

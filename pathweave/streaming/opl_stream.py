@@ -1,4 +1,4 @@
-"""Structured Streaming over OPL lines (ours): stateless parsing and profiles, node dedup by watermark-free state."""
+"""Structured Streaming over OPL lines (ours): stateless parsing and profiles, running counts."""
 
 from __future__ import annotations
 

@@ -3,6 +3,7 @@
 import io
 import json
 import math
+import random
 import zipfile
 
 import duckdb
@@ -19,7 +20,7 @@ from pathweave.plans import street
 from pathweave.sources import routes, store, tiles
 from pathweave.streaming import opl_stream
 
-TABLES = "region nation customer supplier part orders lineitem benchmark pages".split()
+TABLES = "region nation customer supplier part orders lineitem benchmark pages documents".split()
 
 
 def canonical(rows, names):
@@ -91,6 +92,45 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_long_chains_and_hubs(spark, monkeypatch):
+    """Rounds grow as the logarithm: a chain in random order and a hub with many spokes."""
+    from pathweave.operators import components as module
+
+    rounds = []
+    monkeypatch.setattr(module, "jumped", lambda trees, f=module.jumped: rounds.append(1) or f(trees))
+    chain = list(range(2000))
+    random.Random(3).shuffle(chain)
+    assert {r["component"] for r in components(spark.createDataFrame(list(zip(chain, chain[1:])), "a long, b long")).collect()} == {0}
+    assert len(rounds) <= 15
+    rounds.clear()
+    hub = spark.range(1, 100_001).select(F.lit(0).cast("bigint").alias("a"), F.col("id").alias("b"))
+    got = components(hub)
+    assert got.count() == 100_001 and got.where("component <> 0").count() == 0 and len(rounds) <= 3
+    pairs = [(i, j) for i in range(60) for j in range(i) if (i * 7 + j * 13) % 41 == 0]
+    label = list(range(60))
+    for _ in range(60):
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    got = dict(components(spark.createDataFrame([*pairs, (None, 1)], "a long, b long")).collect())
+    assert got == {n: label[n] for p in pairs for n in p}
+
+
+def test_folding_and_match(spark):
+    df = spark.createDataFrame([("Café ÖSCH-Ấn", "a"), ("cafe bar", "b"), ("아라 1길", "c"), (None, "d")], "name string, id string")
+    got = dict(df.select("id", places.terms(F.coalesce("name", F.lit("")))).collect())
+    assert got == {"a": ["cafe", "osch", "an"], "b": ["cafe", "bar"], "c": ["아라", "1길"], "d": []}
+    posted = places.postings(df.fillna(""), ("name",))
+    assert {r["id"] for r in places.match(posted, "CAFÉ").collect()} == {"a", "b"}
+    assert {r["id"] for r in places.match(posted, "cafe ba*").collect()} == {"b"} and places.match(posted, "--").count() == 0
+
+
+def test_compressed_leaves_no_part_of_a_file(spark, tmp_path, monkeypatch):
+    with pytest.raises(ValueError), release.installed(tmp_path / "x") as f:
+        f.write(b"half")
+        raise ValueError
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_geo(spark):
     pts = [(37.5665, 126.978, "N37E126"), (-33.8688, 151.2093, "S34E151"), (40.7128, -74.006, "N40W075"), (37.0, 126.0, "N37E126")]
     df = spark.createDataFrame(pts, "lat double, lon double, want string")
