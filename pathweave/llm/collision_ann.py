@@ -8,27 +8,30 @@ rehashing); a candidate collides on a line once it is in the window. Candidates
 threshold number of lines are verified by their exact inner product. The search ends at the radius
 of which a share (SLACK) reaches as many verified vectors as are asked for.
 
-Candidates are dealt to blocks of about BLOCK rows and queries to blocks of about QUERY_BLOCK; each
-pair of blocks is a task of bounded size, and the best of all blocks are merged by query. Nothing is
-capped: windows grow until the search ends or every candidate is verified.
-
-Defined cases: vectors that are null, zero, or hold a null or non-finite component take no part, nor
-do those of another length than the most common; rows that repeat a vec_id count as one, with the
-least vector; equal vectors are verified once and rank by vec_id; a query without another candidate
-has no rows; an empty table gives no rows; other columns are ignored.
+Candidates are dealt to blocks of about BLOCK rows. A block is one task's: it is indexed once, and the
+queries (a stated share of the rows) stream past it in bounded batches; the best of all blocks are
+merged by query. Nothing is capped: windows grow until the search ends or every candidate is verified.
+
+Defined cases: vectors that are null, zero, or hold a null or non-finite component take no part;
+vectors of different lengths have no inner product and meet only their like; rows that repeat a
+vec_id are rows of their own, a query among them asks for each, and only its own row is no
+candidate; equal vectors are verified once and rank by vec_id; a query without another candidate has
+no rows; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, released, setting
 
 PROJECTIONS, WIDTH, RATIO, FIRST_RADIUS, THRESHOLD, SLACK = 32, 2.0, 1.2, 0.2, 0.66, 0.8
-BLOCK, QUERY_BLOCK, SEED = 65_536, 512, 5
+BLOCK, QUERY_BATCH, BATCH, SEED = 65_536, 64, 4096, 5
 #: Vectors whose norms differ by more than about this factor are indexed apart.
 NORM_RATIO = 1.25
 
@@ -105,51 +108,81 @@ class Index:
         return out
 
 
-def search_all(vectors: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The best of each query over indexes of vectors of similar norm: scaling by a far larger norm
-    would leave all of a class's vectors equally far from every query."""
-    norms = np.sqrt((vectors * vectors).sum(axis=1))
-    kinds = np.floor(np.log(norms) / np.log(NORM_RATIO) + 0.5)
-    out = [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
-    for kind in np.unique(kinds):
-        own = np.flatnonzero(kinds == kind)
-        found = Index(vectors[own], norms[own].max()).search(queries, min(k, len(own)))
-        out = [(np.concatenate([r, own[rows]]), np.concatenate([s, scores])) for (r, s), (rows, scores) in zip(out, found, strict=True)]
-    return out
-
-
-def search_block(k: int):
-    """For applyInPandas over one pair of blocks: rows (query, vec_id, vector)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        asked = pdf["query"].to_numpy(bool)
-        ids = pdf["vec_id"].to_numpy(np.int64)
-        if asked.all() or not asked.any():
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        vectors = np.stack(pdf["vector"].to_numpy()).astype(np.float64) + 0.0
-        data, own = vectors[~asked], ids[~asked]
-        keys = np.ascontiguousarray(data).view(np.dtype((np.void, data.dtype.itemsize * data.shape[1]))).ravel()
+class Block:
+    """A block's candidates, equal vectors as one, with indexes of those of similar norm.
+
+    Scaling by a far larger norm would leave all of a class's vectors equally far from every query.
+    """
+
+    def __init__(self, vectors: np.ndarray, vec_ids: np.ndarray, rows: np.ndarray, k: int):
+        self.k, self.ids, self.rows = k, vec_ids, rows
+        keys = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
         _, first, group = np.unique(keys, return_index=True, return_inverse=True)
         # the k + 1 least ids of each distinct vector: one of them may be the query's own
-        order = np.lexsort((own, group))
+        order = np.lexsort((rows, vec_ids, group))
         starts = np.flatnonzero(np.concatenate(([True], np.diff(group[order]) > 0)))
         place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-        order = order[place <= k]
-        starts = np.searchsorted(group[order], np.arange(len(first) + 1))
-        found = search_all(data[first], vectors[asked], k + 1)
+        self.order = order[place <= k]
+        self.starts = np.searchsorted(group[self.order], np.arange(len(first) + 1))
+        vectors = vectors[first]
+        norms = np.sqrt((vectors * vectors).sum(axis=1))
+        kinds = np.floor(np.log(norms) / np.log(NORM_RATIO) + 0.5)
+        self.parts = [(own, Index(vectors[own], norms[own].max())) for own in (np.flatnonzero(kinds == kind) for kind in np.unique(kinds))]
+
+    def nearest(self, query: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+        """The k best of each query (row: its own row, which is no candidate)."""
+        found = [[] for _ in row]
+        for own, index in self.parts:
+            for q, (r, scores) in enumerate(index.search(query, min(self.k + 1, len(own)))):
+                found[q].append((own[r], scores))
         out = []
-        for query, (rows, scores) in zip(ids[asked].tolist(), found, strict=True):
+        for own, parts in zip(row.tolist(), found, strict=True):
+            rows, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
             best = np.argsort(-scores, kind="stable")
-            got = np.concatenate([order[starts[r] : starts[r + 1]] for r in rows[best]])
-            score = np.repeat(scores[best], starts[rows[best] + 1] - starts[rows[best]])
-            near = own[got]
-            kept = near != query
-            near, score = near[kept], score[kept]
-            top = np.lexsort((near, -score))[:k]
-            out.append(pd.DataFrame({"query_id": query, "vec_id": near[top], "score": score[top]}))
-        return pd.concat(out)
+            got = np.concatenate([self.order[self.starts[r] : self.starts[r + 1]] for r in rows[best]])
+            score = np.repeat(scores[best], self.starts[rows[best] + 1] - self.starts[rows[best]])
+            kept = self.rows[got] != own
+            got, score = got[kept], score[kept]
+            top = np.lexsort((self.rows[got], self.ids[got], -score))[: self.k]
+            out.append((np.full(len(top), own), self.ids[got[top]], self.rows[got[top]], score[top]))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "vec_id", "row", "score"])
+
+
+def search_blocks(k: int):
+    """For mapInArrow over rows (block, asked, row, vec_id, vector) sorted by (block, asked).
+
+    A block's candidates are held and indexed once; its queries stream past them in bounded batches.
+    """
 
-    return run
+    def parts(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, bool], pa.RecordBatch]]:
+        block, asked = batch.column("block").to_numpy(), batch.column("asked").to_numpy(zero_copy_only=False)
+        key = 2 * block + asked
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        for s, e in zip(starts, np.append(starts[1:], len(key)), strict=True):
+            yield (int(block[s]), bool(asked[s])), batch.slice(s, e - s)
+
+    def vectors(batch: pa.RecordBatch) -> np.ndarray:
+        flat = batch.column("vector").flatten().to_numpy().astype(np.float64) + 0.0
+        return flat.reshape(batch.num_rows, -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, of, block = [], None, None
+        for batch in batches:
+            for (at, asked), part in parts(batch) if batch.num_rows else ():
+                if at != of:
+                    held, of, block = [], at, None
+                if not asked:
+                    held.append(part)
+                    continue
+                if block is None and held:
+                    x, ids, rows = (np.concatenate(c) for c in zip(*[(vectors(p), p.column("vec_id").to_numpy(), p.column("row").to_numpy()) for p in held], strict=True))
+                    held, block = [], Block(x, ids, rows, k)
+                for start in range(0, part.num_rows if block else 0, QUERY_BATCH):
+                    some = part.slice(start, QUERY_BATCH)
+                    yield block.nearest(vectors(some), some.column("row").to_numpy())
+
+    return released(run)
 
 
 def nearest(vectors: DataFrame, asked: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -157,17 +190,23 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 20, vec_id: str = "vec_i
 
     asked is a condition on vec_id.
     """
-    own = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"))
-    own = cut(own.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("vector").alias("vector")))
-    lengths = own.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    own = own.where(F.size("vector") == (lengths[0]["d"] if lengths else 0))
-    n, n_asked = own.agg(F.count("*"), F.sum(asked.cast("long"))).first()
-    blocks, query_blocks = -(-n // BLOCK) or 1, -(-(n_asked or 0) // QUERY_BLOCK) or 1
-    deal = lambda salt, count: F.pmod(F.xxhash64(F.lit(salt), F.col("vec_id")), F.lit(count)).cast("int")
-    everywhere = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    data = own.select(F.lit(False).alias("query"), "vec_id", "vector", deal("data", blocks).alias("b"), everywhere(query_blocks).alias("q"))
-    queries = own.where(asked).select(F.lit(True).alias("query"), "vec_id", "vector", everywhere(blocks).alias("b"), deal("query", query_blocks).alias("q"))
-    pairs = data.unionByName(queries).groupBy("b", "q")
-    found = pairs.applyInPandas(search_block(k), "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    spark = vectors.sparkSession
+    own = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vector"))
+    own = own.where(usable(F.col("vector")) & F.col("vec_id").isNotNull())
+    own = cut(own.select("vec_id", "vector", F.size("vector").alias("d"), F.monotonically_increasing_id().alias("row")))
+    # vectors of a length have blocks of their own, numbered on from those of shorter ones
+    sizes = own.groupBy("d").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("long").alias("blocks"))
+    spot = F.pmod(F.xxhash64(F.lit(SEED), F.col("row")), F.col("blocks"))
+    mark = F.shiftleft(F.col("d").cast("long"), 32)
+    known = own.join(F.broadcast(sizes), "d")  # a row for each length of vector
+    data = known.select((mark + spot).alias("block"), F.lit(False).alias("asked"), "row", "vec_id", "vector")
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    queries = known.where(asked).select("d", blocks.alias("spot"), "row", "vec_id", "vector")
+    queries = queries.select((mark + F.col("spot")).alias("block"), F.lit(True).alias("asked"), "row", "vec_id", "vector")
+    dealt = data.unionByName(queries).repartition("block").sortWithinPartitions("block", "asked")
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
+        found = cut(dealt.mapInArrow(search_blocks(k), "query long, vec_id long, row long, score double"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row"))
+    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    names = own.where(asked).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return best.join(names, "query").select("query_id", "rank", "vec_id", "score")

@@ -1,11 +1,10 @@
-"""What the corpus operators share: tables, batch sizes, size-checked joins, global ranks."""
+"""What the corpus operators share: tables, size-checked joins, workers' memory, held-out documents."""
 
 from __future__ import annotations
 
 import ctypes
-import json
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager, suppress
+from contextlib import suppress
 
 import pandas as pd
 import pyarrow
@@ -14,31 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from pathweave.operators.components import components
-from pathweave.session import cut, ensure_checkpoint_dir
+from pathweave.operators.ranking import fresh, global_rank
+from pathweave.session import cut, ensure_checkpoint_dir, forget, setting, shared_folder
 
-__all__ = ["components", "cut", "ensure_checkpoint_dir"]
+__all__ = ["components", "cut", "ensure_checkpoint_dir", "forget", "fresh", "global_rank", "setting", "shared_folder"]
 
-#: Rows of an Arrow batch where rows are a few numbers.
-SLIM_BATCH = 50_000
-#: Rows of a slim (a few longs wide) side that may be broadcast; a larger side is shuffled.
-BROADCAST_ROWS = 500_000
+#: A side of at most so many bytes, by its rows and their width, may be broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 48 << 20
+#: Bytes of text that a worker takes apart at once, where it works on many texts together.
+TEXT_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most that many rows, else as it is (the join then shuffles).
+def bounded(df: DataFrame, width: int = 48, entries: Column | None = None) -> DataFrame:
+    """df with a broadcast hint if its rows take at most BROADCAST_BYTES, else as it is (the join then shuffles).
 
-    It counts the rows, so give it a frame that is cut or cheap.
+    width: bytes of a row, or of each of its entries where rows hold arrays and `entries` is their
+    size. It reads df once to count, so give it a table or what is cheap.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound what a Python worker holds at once when rows carry whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    n = df.agg(F.sum(entries.cast("long")) if entries is not None else F.count("*")).first()[0] or 0
+    return F.broadcast(df) if n * width <= BROADCAST_BYTES else df
 
 
 def bind(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -46,16 +43,16 @@ def bind(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-@contextmanager
-def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of so many rows for what is computed inside: slim rows go faster in large ones."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def slices(texts: pd.Series, most: int = TEXT_BYTES) -> Iterator[slice]:
+    """Runs of texts of at most `most` characters together, or of one longer text."""
+    start, held = 0, 0
+    for i, n in enumerate(texts.str.len().fillna(0).astype(int)):
+        if held + n > most and i > start:
+            yield slice(start, i)
+            start, held = i, 0
+        held += n
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
@@ -85,28 +82,3 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the fifth of the documents that no model learns from."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(c.cast("string")) % 5 == 0, F.lit(False))
-
-
-def global_rank(df: DataFrame, keys: list[Column], parts: int | None = None) -> DataFrame:
-    """df plus `rank`: the row's place from 0 in the order of keys, over all rows, with one shuffle.
-
-    Rows are range partitioned and sorted; a row's place in its partition comes from its
-    monotonic id and partition offsets come from a table of one row a partition. The sorted rows
-    are written, so offsets and places come from the same partitioning.
-    """
-    spark = df.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    named = df.select("*", *[k.alias(f"__k{i}") for i, k in enumerate(keys)])
-    cols = [f"__k{i}" for i in range(len(keys))]
-    placed = named.repartitionByRange(n, *cols).sortWithinPartitions(*cols).drop(*cols)
-    placed = cut(placed.withColumn("__m", F.monotonically_increasing_id()))
-    part, at = F.shiftright("__m", 33), F.col("__m").bitwiseAND((1 << 33) - 1)
-    sizes = placed.groupBy(part.alias("__p")).agg(F.count("*").alias("n")).collect()
-    offset, starts = 0, []
-    for r in sorted(sizes):
-        starts.append({"p": r["__p"], "o": offset})
-        offset += r["n"]
-    # one row a partition
-    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(starts)), "array<struct<p: bigint, o: bigint>>")))
-    out = placed.withColumn("__p", part).join(F.broadcast(table), F.col("__p") == F.col("p"))
-    return out.withColumn("rank", F.col("o") + at).drop("__p", "__m", "p", "o")

@@ -10,6 +10,8 @@ Ranks come from one range partitioning by (curve, ties), which splits hot cells
 
 Defined cases: nulls are in the first bin; a dimension with one value has one bin; equal rows have
 adjacent places in any order; an empty table gives no rows; other columns pass through unchanged.
+Equal texts whose metadata differ lie in different cells, so they may be in different shards; equal
+texts of one cell have adjacent places if the tie keys begin with a hash of the text.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bind, global_rank
+from .common import bind, fresh, global_rank
 
 BITS, SHARDS, CODE_BYTES = 4, 8, 6
 
@@ -45,10 +47,10 @@ def quantised(df: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
             continue
         if kinds[c] == "string":
             skip = shared_prefix(low, high)
-            value = string_code(F.col(c), skip)
+            value = string_code(F.col(f"`{c}`"), skip)
             low, high = (int.from_bytes(x.encode()[skip : skip + CODE_BYTES].ljust(CODE_BYTES, b"\0"), "big") for x in (low, high))
         else:
-            value = F.col(c).cast("double")
+            value = F.col(f"`{c}`").cast("double")
         place = F.floor((value - float(low)) * (1 << bits) / max(float(high) - float(low), 1e-300))
         out.append(F.greatest(F.least(F.coalesce(place, F.lit(0)), F.lit((1 << bits) - 1)), F.lit(0)).cast("int"))
     return out
@@ -89,14 +91,16 @@ def hilbert(bins: list[Column], bits: int = BITS) -> Column:
 
 
 def shards(df: DataFrame, dims: list[str], ties: list[str], n_shards: int = SHARDS, bits: int = BITS) -> DataFrame:
-    """df plus curve, shard and slot (the row's place in its shard, from 0)."""
-    placed = df.withColumn("__bins", F.array(*quantised(df, dims, bits)))
-    placed = placed.withColumn("curve", hilbert([F.get("__bins", F.lit(i)) for i in range(len(dims))], bits)).drop("__bins")
-    ranked = global_rank(placed, [F.col("curve"), *[F.col(c) for c in ties]])
+    """df plus curve, shard and slot (the row's place in its shard, from 0); they replace columns of these names."""
+    bins, curve, rank = (fresh(df, c) for c in ("bins", "curve", "rank"))
+    placed = df.withColumn(bins, F.array(*quantised(df, dims, bits)))
+    placed = placed.withColumn(curve, hilbert([F.get(bins, F.lit(i)) for i in range(len(dims))], bits)).drop(bins)
+    ranked = global_rank(placed, [F.col(curve), *[F.col(f"`{c}`") for c in ties]], rank)
     n = ranked.count()
-    shard = F.expr(f"(rank * {n_shards}) div {max(n, 1)}L")
-    slot = F.col("rank") - F.expr(f"(shard * {n}L + {n_shards - 1}) div {n_shards}")
-    return ranked.withColumn("shard", shard.cast("int")).withColumn("slot", slot.cast("long")).drop("rank")
+    shard = F.expr(f"({rank} * {n_shards}) div {max(n, 1)}L")
+    slot = F.col(rank) - F.expr(f"((({rank} * {n_shards}) div {max(n, 1)}L) * {n}L + {n_shards - 1}) div {n_shards}")
+    own = {"curve": F.col(curve), "shard": shard.cast("int"), "slot": slot.cast("long")}
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns if c not in own], *[v.alias(c) for c, v in own.items()])
 
 
 def manifest(sharded: DataFrame, dims: list[str]) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out
+from .common import fresh, held_out
 
 #: Labelled rows that the model is fitted on, at most about so many in all and for each language.
 SAMPLE_ROWS, SAMPLE_EACH = 4000, 600
@@ -176,7 +176,7 @@ def fit(docs: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs plus lang_pred, score and rejected."""
+    """docs plus lang_pred, score and rejected; they replace columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
@@ -186,6 +186,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             found = [own.predict(t) for t in texts]
             yield pd.DataFrame({"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
 
-    out = docs.withColumn("__p", run(F.col(text)))
-    rejected = (F.col("__p.lang_pred") == "und") | (F.col("__p.score") < model.threshold)
-    return out.withColumns({"lang_pred": F.col("__p.lang_pred"), "score": F.col("__p.score"), "rejected": rejected}).drop("__p")
+    p = fresh(docs, "p")
+    out = docs.withColumn(p, run(F.col(text)))
+    rejected = (F.col(f"{p}.lang_pred") == "und") | (F.col(f"{p}.score") < model.threshold)
+    return out.withColumns({"lang_pred": F.col(f"{p}.lang_pred"), "score": F.col(f"{p}.score"), "rejected": rejected}).drop(p)

@@ -1,70 +1,69 @@
 """Fuzzy line dedup: SimHash, pigeonhole blocks, verified edit similarity, one line a group (operator 1).
 
-Lines are normalised (lower case, runs of ASCII other than letters and digits to one space) and SimHashed
-over their words (a repeated word counts as others). Fingerprints within RADIUS bits agree on all but RADIUS of the blocks that the 64
-bits are cut into, so every choice of the remaining blocks is a key under which such lines meet.
-Lines that meet and are within the radius are verified: an edit distance of at most a fifth of the
-longer one's length. Of each connected group, equal lines included, the occurrence of the least
-(doc_id, line number) stays and the others leave their documents.
-
-A key's lines give a spanning forest of candidates instead of all pairs. Only where a candidate
-fails the edit check are the pairs between the parts that it would have joined looked at as well,
-so connectedness is that of all verified pairs. The number of blocks follows the number of lines;
-the result does not depend on it.
-
-With `grams`, as the query and the pipeline call it, lines also meet by MinHashes of their character
-n-grams (GRAMS), within GRAM_RADIUS bits: one replaced word of ten moves a SimHash by eight bits, so
-most lines of the required edit similarity lie beyond any radius that pigeonhole blocks can serve.
-
-Lines of fewer than MIN_WORDS words agree by chance: they are compared for equality, and in their
-own document only. With `everywhere`, as the query and the pipeline call it, they are compared for
-equality over all documents, and a line of MIN_CHARS characters is long however few its words are
-(scripts without spaces): it is compared by its character n-grams, as are lines of over MAX_WORD characters a word. Lines without a letter or digit always stay.
+Lines are normalised (lower case, runs of ASCII other than letters and digits to one space); equal
+ones, by 128-bit hashes, are one. They are SimHashed over their words (a repeated word counts as
+others). Fingerprints within RADIUS bits agree on all but RADIUS of the blocks that the 64 bits are
+cut into, so every choice of the remaining blocks is a key under which such lines meet. One replaced
+word of ten moves a SimHash by eight bits, which no pigeonhole blocks can serve, so lines also meet
+by MinHashes of their character n-grams (GRAMS) and are then candidates within GRAM_RADIUS bits.
+What meets is verified: an edit distance of at most a fifth of the longer line's length. Of each
+connected group, equal lines included, the occurrence of the least (doc_id, line number) stays and
+the others leave their documents.
+
+A key's lines give a spanning forest of candidates instead of all pairs (cells.py). Only where a
+candidate fails the edit check are the pairs between the parts that it would have joined looked at
+as well, so connectedness is that of all verified pairs that meet. The number of blocks follows the
+number of lines; the result does not depend on it.
+
+Lines of fewer than MIN_WORDS words agree by chance and are compared for equality alone, over all
+documents, but a line of MIN_CHARS characters is long however few its words are (scripts without
+spaces) and takes the SimHash of its pairs of characters, as do lines of over MAX_WORD characters a
+word. Lines of nothing but ASCII signs always stay.
 
 Defined cases: a null text stays null, an empty one empty; documents may become empty but stay;
-rows that repeat a doc_id and text are one document (all copies keep the same lines); a text without
-a duplicate line stays as it is, byte for byte; other columns pass through unchanged.
+rows that repeat a doc_id and text are one document (all copies keep the same lines); documents
+without a doc_id come first; a text without a duplicate line stays as it is, byte for byte; an
+empty table gives no rows; other columns pass through unchanged (lines_in and lines_dropped replace
+columns of these names).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial, reduce
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLIM_BATCH, batch_rows, bind, bounded, components, cut, released
-from .simhash_dedup import linked, links_in_cells
+from .cells import apart, linked, meet
+from .common import bind, bounded, components, cut, forget, fresh, released, setting, slices
 
 RADIUS, MIN_WORDS, MIN_CHARS, MAX_WORD, SIMILARITY = 3, 5, 40, 16, 0.8
 #: Blocks of a fingerprint by the number of distinct lines that they suffice for.
 BLOCKS = ((50_000_000, 4), (1_000_000_000, 5), (None, 6))
-#: (bytes of an n-gram, MinHashes of them, most characters of the lines that get them or None), and the
+#: (bytes of an n-gram, MinHashes of them, most bytes of the lines that get them or None), and the
 #: SimHash radius of what meets by them.
-GRAMS, GRAM_RADIUS = ((16, 6, None), (8, 3, 80)), 20
+GRAMS, GRAM_RADIUS = ((16, 4, None), (8, 2, 80)), 16
 BASE = 0x9E3779B97F4A7C15
-#: Bytes hashed at once.
-PIECE = 1 << 16
+#: Odd factors of the MinHashes.
+FACTORS = [pow(BASE, 2 * k + 3, 1 << 64) for k in range(16)]
+#: Bytes hashed at once; documents in an Arrow batch.
+PIECE, BATCH = 1 << 16, 1000
 #: A space for each ASCII byte but letters, digits and the line feed.
 SIGNS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 #: A byte's eight bits, one in each byte of a word.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-def normal_lines(text: str) -> list[str]:
+def normal_lines(text: str) -> list[bytes]:
     """A text's lines: lower case, words between single spaces."""
-    return [b" ".join(line.split()).decode() for line in prepared([text]).split(b"\n")]
-
-
-def prepared(texts: list[str]) -> bytes:
-    """The texts' lines, one after another, with a space for every ASCII sign."""
-    return "\n".join(texts).lower().encode().translate(SIGNS)
+    return [b" ".join(line.split()) for line in text.lower().encode().translate(SIGNS).split(b"\n")]
 
 
 @lru_cache(maxsize=1)
@@ -128,115 +127,112 @@ def simhashes(h: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray
     return np.packbits(2 * ones > words[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-def line_table(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """(row of the text, line number, hash, SimHash, words, characters) of each line with a word."""
-    counts = np.array([t.count("\n") + 1 for t in texts])
-    data = np.frombuffer(prepared(texts) + b"\n", np.uint8)
-    gap = np.concatenate(([True], (data == 32) | (data == 10)))
-    change = np.flatnonzero(gap[1:] != gap[:-1])
-    starts, ends = change[::2], change[1::2]
-    if not len(starts):
-        return tuple(np.empty(0, t) for t in (np.int64, np.int32, np.uint64, np.uint64, np.int64, np.int64))
-    h = word_hashes(data, starts, ends)
-    of = np.searchsorted(np.flatnonzero(data == 10), starts)
-    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-    words = np.diff(np.append(first, len(of)))
-    place = (np.arange(len(of)) - np.repeat(first, words)).astype(np.uint64)
-    node = mix(np.add.reduceat(mix(h + place * np.uint64(BASE)), first))
-    row = np.repeat(np.arange(len(texts)), counts)[of[first]]
-    number = of[first] - (np.cumsum(counts) - counts)[row]
-    inner = np.flatnonzero(data & 0xC0 == 0x80)  # bytes that begin no character
-    chars = ends - starts - (np.searchsorted(inner, ends) - np.searchsorted(inner, starts))
-    return row, number.astype(np.int32), node, simhashes(h, first, words), words, np.add.reduceat(chars, first) + words - 1
-
-
-def gram_minima(texts: list[str], width: int, keys: int) -> np.ndarray:
-    """For each line with a word, `keys` minima of hashes of its runs of `width` bytes (of the whole line if shorter).
-
-    Each is a MinHash of the line's character n-grams: two lines share it as often as their n-grams are the same.
-    """
-    data = np.frombuffer(prepared(texts) + b"\n", np.uint8)
-    gap = (data == 32) | (data == 10)
-    of = np.cumsum(data == 10) - (data == 10)
-    keep = ~gap | np.concatenate(([False], ~gap[:-1]))  # a sign after each word
-    codes, of = np.where(gap, 32, data)[keep].astype(np.uint64), of[keep]
-    if not len(codes):
-        return np.empty((0, keys), np.uint32)
-    new = np.concatenate(([True], of[1:] != of[:-1]))
-    first = np.flatnonzero(new)
-    sizes = np.diff(np.append(first, len(of)))
-    left = np.repeat(first + sizes, sizes) - np.arange(len(of))  # bytes to the line's end
-    h, power, n = mix(codes + np.uint64(1)), BASE, 1
-    while n < width:  # hashes of 2, 4, 8 bytes; what is beyond the line counts as nothing
-        after = np.concatenate((h[n:], np.zeros(n, np.uint64))) if n < len(h) else np.zeros(len(h), np.uint64)
-        h = h * np.uint64(power) + np.where(left > n, after, np.uint64(0))
-        power, n = power * power & 0xFFFFFFFFFFFFFFFF, 2 * n
-    h = mix(h)[rows := (left >= width) | new]
-    first = np.flatnonzero(new[rows])
-    minima = [np.minimum.reduceat(mix(h ^ np.uint64(k * BASE & 0xFFFFFFFFFFFFFFFF)), first) for k in range(1, keys + 1)]
-    return np.stack([(mix(x) >> np.uint64(32)).astype(np.uint32) for x in minima], axis=1)
-
-
-def unspaced_simhash(line: str) -> np.uint64:
-    """The SimHash over a line's pairs of adjacent characters."""
-    codes = mix(np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1))
-    h = mix(codes[:-1] * np.uint64(BASE) + codes[1:])
-    return simhashes(h, np.zeros(1, np.int64), np.array([len(h)]))[0]
-
-
-def gram_lists(texts: list[str], chars: np.ndarray) -> list[np.ndarray]:
-    """The MinHashes by GRAMS of each line with a word."""
-    found = np.concatenate([gram_minima(texts, width, keys) for width, keys, _ in GRAMS], axis=1).view(np.int32)
-    ends = np.cumsum([keys for _, keys, _ in GRAMS])
-    fit = np.stack([chars <= (most or chars.max(initial=0)) for _, _, most in GRAMS])
-    sizes = np.where(fit.all(axis=0), ends[-1], ends[0])
-    return [g[:n] for g, n in zip(found, sizes, strict=True)]
-
-
-def numbered_lines(batches: Iterator[pd.DataFrame], grams: bool = False, everywhere: bool = False) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        texts = pdf["text"].tolist()
-        row, line, node, sim, words, chars = line_table(texts)
-        own = pdf[["doc", "doc_id"]].iloc[row]
-        doc, long = own["doc"].to_numpy(), words >= MIN_WORDS
-        if everywhere:
-            unspaced = (chars >= MIN_CHARS) & ((words < MIN_WORDS) | (chars > MAX_WORD * words))
-            for i in np.flatnonzero(unspaced):
-                sim[i] = unspaced_simhash(b" ".join(prepared([texts[row[i]].split("\n")[line[i]]]).split()).decode())
-            long |= unspaced
-        else:
-            node = np.where(long, node, mix(node ^ doc.view(np.uint64)))
-        out = pd.DataFrame({"doc": doc, "doc_id": own["doc_id"].array, "line": line, "node": node.view(np.int64), "sim": np.where(long, sim, 0).view(np.int64), "chars": np.where(long, chars, 0)})
-        if grams:
-            out["grams"] = [g if x else g[:0] for g, x in zip(gram_lists(texts, chars), long, strict=True)]
-        yield out
-
-
-def occurrences(docs: DataFrame, grams: bool = False, everywhere: bool = False) -> DataFrame:
-    """(doc, doc_id, line, node, sim, chars, and grams if asked for) of each line with a letter or digit.
-
-    doc: hash of doc_id and text; node: hash of the normalised line (of short lines, with doc unless `everywhere`);
-    sim and chars (of the normalised line): 0 for short lines.
+class Lines:
+    """The lines with a word of some texts: each one's text, number in it, bytes and numbers of words and characters."""
+
+    def __init__(self, texts: list[str]):
+        own = [normal_lines(t) for t in texts]
+        rows = [(r, n, line) for r, lines in enumerate(own) for n, line in enumerate(lines) if line]
+        self.row = np.array([x[0] for x in rows], np.int64)
+        self.number = np.array([x[1] for x in rows], np.int32)
+        self.bytes = [x[2] for x in rows]
+        joined = b"\n".join(self.bytes) + b"\n"
+        self.data = np.frombuffer(joined + bytes(24), np.uint8)[: len(joined)]  # windows may read beyond the end
+        gaps = np.flatnonzero((self.data == 32) | (self.data == 10)) if rows else np.empty(0, np.int64)
+        self.word_ends, self.word_starts = gaps, np.concatenate(([0], gaps[:-1] + 1)) if rows else gaps
+        self.ends = gaps[self.data[gaps] == 10]
+        self.starts = np.concatenate(([0], self.ends[:-1] + 1)) if rows else gaps
+        self.first = np.searchsorted(self.word_starts, self.starts)
+        self.words = np.diff(np.append(self.first, len(gaps)))
+        heads = (self.data & 0xC0 != 0x80).astype(np.int32)  # bytes that begin a character
+        self.chars = np.add.reduceat(heads, self.starts) - 1 if rows else self.words
+
+    def hashes(self) -> np.ndarray:
+        """Two longs for each line."""
+        return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.bytes)), "<i8").reshape(-1, 2)
+
+    def unspaced(self) -> np.ndarray:
+        return (self.chars >= MIN_CHARS) & ((self.words < MIN_WORDS) | (self.chars > MAX_WORD * self.words))
+
+    def simhashes(self) -> np.ndarray:
+        """Over words, or over pairs of adjacent characters where words are few or long."""
+        if not len(self.row):
+            return np.empty(0, np.uint64)
+        out = simhashes(word_hashes(self.data, self.word_starts, self.word_ends), self.first, self.words).copy()
+        for i in np.flatnonzero(self.unspaced()):
+            codes = mix(np.frombuffer(self.bytes[i].decode().encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1))
+            h = mix(codes[:-1] * np.uint64(BASE) + codes[1:])
+            out[i] = simhashes(h, np.zeros(1, np.int64), np.array([len(h)]))[0]
+        return out
+
+    def minhashes(self, width: int, keys: int, which: np.ndarray) -> np.ndarray:
+        """For each line of `which`, `keys` minima of hashes of its runs of `width` bytes: 8 or 16.
+
+        Each is a MinHash of the line's n-grams: two lines share it as often as their n-grams are the same.
+        """
+        sizes = (self.ends - self.starts)[which] - width + 1
+        first = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(self.starts[which] - first, sizes)
+        window = np.ndarray((len(self.data),), "<u8", buffer=self.data.base if self.data.base is not None else self.data, strides=(1,))
+        h = window[at] * np.uint64(BASE)
+        if width == 16:
+            h += window[at + 8] * np.uint64(FACTORS[-1])
+        h = mix(h)
+        return np.stack([np.minimum.reduceat(h * np.uint64(f), first) for f in FACTORS[:keys]], axis=1)
+
+    def cells(self, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The MinHashes by GRAMS of the long lines, as a flat array with offsets: longs under 0, whose last bits tell which they are."""
+        sizes, total = self.ends - self.starts, sum(keys for _, keys, _ in GRAMS)
+        found, there, k = np.zeros((len(sizes), total), np.uint64), np.zeros((len(sizes), total), bool), 0
+        for width, keys, most in GRAMS:
+            which = np.flatnonzero(long & (sizes >= width) & (sizes <= (most or sizes.max(initial=0))))
+            if len(which):
+                found[which, k : k + keys] = self.minhashes(width, keys, which)
+                there[which, k : k + keys] = True
+            k += keys
+        found = found & np.uint64(0x7FFFFFFFFFFFFFF0) | np.uint64(1 << 63) | np.arange(total, dtype=np.uint64)
+        return found[there].view(np.int64), np.concatenate(([0], np.cumsum(there.sum(axis=1)))).astype(np.int32)
+
+
+def numbered_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (doc, doc_id, text)."""
+    for batch in batches:
+        texts = batch.column("text").to_pandas()
+        for part in slices(texts):
+            own = Lines(texts[part].tolist())
+            long = (own.words >= MIN_WORDS) | own.unspaced()
+            doc = batch.slice(part.start, part.stop - part.start).select(["doc", "doc_id"]).take(pa.array(own.row))
+            node, sim = own.hashes(), np.where(long, own.simhashes(), np.uint64(0)).view(np.int64)
+            values, offsets = own.cells(long)
+            columns = [*doc.columns, pa.array(own.number), pa.array(node[:, 0].copy()), pa.array(node[:, 1].copy()), pa.array(sim), pa.array(np.where(long, own.chars, 0).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "doc_id", "line", "hash", "hash2", "sim", "chars", "grams"])
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text) of the documents with a text; doc, a hash of both, tells those of one doc_id apart."""
+    return docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, line, hash, hash2, sim, chars, grams) of each line with a letter or digit.
+
+    hash, hash2: 128 bits of the normalised line; sim and chars (of the normalised line): 0 for short lines.
     """
-    own = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc long, doc_id {kind}, line int, node long, sim long, chars long" + ", grams array<int>" * grams
-    return own.mapInPandas(released(partial(numbered_lines, grams=grams, everywhere=everywhere)), schema)
+    own = identified(docs)
+    kind = dict(own.dtypes)["doc_id"]
+    schema = f"doc long, doc_id {kind}, line int, hash long, hash2 long, sim long, chars long, grams array<long>"
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
+        return cut(own.mapInArrow(released(numbered_lines), schema))
 
 
 def keys(sim: Column, blocks: int, radius: int) -> Column:
-    """The pigeonhole keys of a fingerprint: (which blocks, their bits) hashed to a long."""
+    """The pigeonhole keys of a fingerprint: (which blocks, their bits) hashed to a long from 0 on."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     part = [F.shiftrightunsigned(sim, a).bitwiseAND(F.lit((1 << b - a) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
     chosen = list(combinations(range(blocks), blocks - radius))
     if len(chosen[0]) == 1:
         return F.array(*[F.lit(c[0] << 32).bitwiseOR(part[c[0]]) for c in chosen])
-    return F.array(*[F.xxhash64(F.lit(n), *[part[i] for i in c]) for n, c in enumerate(chosen)])
-
-
-def gram_keys(grams: Column) -> Column:
-    """The cells of a line's MinHashes: (which, its value) in a long."""
-    return F.transform(grams, lambda g, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(g.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+    return F.array(*[F.xxhash64(F.lit(n), *[part[i] for i in c]).bitwiseAND(F.lit((1 << 63) - 1)) for n, c in enumerate(chosen)])
 
 
 def same_length(chars: np.ndarray, similarity: float):
@@ -248,24 +244,17 @@ def same_length(chars: np.ndarray, similarity: float):
     return fit
 
 
-def candidates_in_cell(similarity: float):
-    return lambda cell, fps, radius, chars: linked(cell, fps, radius, same_length(chars, similarity))
+def reach(cell: np.ndarray, radius: int) -> np.ndarray:
+    """The radius that holds in each row's cell."""
+    return np.where(cell < 0, GRAM_RADIUS, radius)
+
+
+def candidates_in_cell(similarity: float, radius: int):
+    return lambda cell, fps, node, chars: linked(cell, fps, reach(cell, radius), same_length(chars, similarity))
 
 
-def apart(cell: np.ndarray, fps: np.ndarray, radius: int, chars: np.ndarray, label: np.ndarray, similarity: float, tile: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows in a cell within the radius that may be similar and whose labels differ."""
-    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-    out = [(np.empty(0, int), np.empty(0, int))]
-    for s, e in zip(starts, np.append(starts[1:], len(cell)), strict=True):
-        for top in range(s, e, tile):
-            for left in range(top, e, tile):
-                x, y = slice(top, min(top + tile, e)), slice(left, min(left + tile, e))
-                near = (np.bitwise_count(fps[x, None] ^ fps[None, y]) <= radius) & (label[x, None] != label[None, y])
-                i, j = np.nonzero(near)
-                i, j = i + top, j + left
-                near = same_length(chars, similarity)(i, j)
-                out.append((i[near], j[near]))
-    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+def parts_in_cell(similarity: float, radius: int):
+    return lambda cell, fps, node, chars, label: apart(cell, fps, reach(cell, radius), same_length(chars, similarity), label)
 
 
 def shared(a, b) -> int:
@@ -333,90 +322,93 @@ def alike(a: str, b: str, similarity: float) -> bool:
 
 
 def texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, raw: the line as it stands) for reps (node, doc, line); more rows where documents repeat."""
-    wanted = cut(reps.groupBy("doc").agg(F.collect_list(F.struct("line", "node")).alias("wanted")))
-    found = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "text").join(bounded(wanted), "doc")
+    """(node, raw: the line as it stands), as a table, for reps (node, doc_id, doc, line)."""
+    wanted = cut(reps.groupBy(F.col("doc_id").alias("id"), F.col("doc").alias("of")).agg(F.collect_list(F.struct("line", "node")).alias("wanted")))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("doc") == F.col("of"))
+    found = identified(docs).join(bounded(wanted, 48, F.size("wanted") + 1), same)
     pick = lambda lines: F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), F.get(lines, w["line"]).alias("raw")))
-    return found.select(F.inline(bind(F.split("text", "\n"), pick)))
+    # documents that repeat give their lines once
+    out = cut(found.select(F.inline(bind(F.split("text", "\n"), pick))).dropDuplicates(["node"]))
+    forget(wanted)
+    return out
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """pairs (a, b) plus ok."""
+    """pairs (a, b) plus ok, as a table."""
     x = texts.select(F.col("node").alias("a"), F.col("raw").alias("__x"))
     y = texts.select(F.col("node").alias("b"), F.col("raw").alias("__y"))
 
     @F.pandas_udf(T.BooleanType())
     def check(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([alike(normal_lines(p)[0], normal_lines(q)[0], similarity) for p, q in zip(a, b, strict=True)], dtype=bool)
+        return pd.Series([alike(normal_lines(p)[0].decode(), normal_lines(q)[0].decode(), similarity) for p, q in zip(a, b, strict=True)], dtype=bool)
 
-    return pairs.join(x, "a").join(y, "b").select("a", "b", check("__x", "__y").alias("ok"))
+    return cut(pairs.join(x, "a").join(y, "b").select("a", "b", check("__x", "__y").alias("ok")))
 
 
 def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """(node, component) of the lines that are connected to another one. nodes: (node, sim, chars, doc, line, and grams to meet by them too)."""
+    """(node, component) of the lines that are connected to another one. nodes: (node, sim, chars, grams, doc_id, doc, line), a table."""
     n = nodes.count()
     blocks = next(b for most, b in BLOCKS if most is None or n <= most)
 
-    ways = [(radius, keys(F.col("sim"), blocks, radius))] + [(GRAM_RADIUS, gram_keys(F.col("grams")))] * ("grams" in nodes.columns)
-    columns, spark = ("cell", "sim", "node", "chars"), docs.sparkSession
+    def cells(rows: DataFrame, *extra: str) -> DataFrame:
+        return rows.select(F.explode(F.concat(keys(F.col("sim"), blocks, radius), "grams")).alias("cell"), "sim", "node", "chars", *extra)
 
-    def meeting(rows: DataFrame, join, *extra: str) -> DataFrame:
-        found = []
-        for within, own in ways:
-            cells = rows.select(F.explode(own).alias("cell"), "sim", "node", "chars", *extra)
-            dealt = cells.repartition("cell").sortWithinPartitions("cell", "sim", "node")
-            found.append(dealt.mapInPandas(released(links_in_cells(within, (*columns, *extra), join)), "a long, b long"))
-        pairs = reduce(DataFrame.union, found)
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    with batch_rows(spark, SLIM_BATCH):
-        candidates = cut(meeting(nodes, candidates_in_cell(similarity)))
+    candidates = meet(cells(nodes), candidates_in_cell(similarity, radius))
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
-    known = cut(nodes.join(bounded(cut(ends)), "node"))
-    texts = cut(texts_of(docs, known))
-    links = cut(verified(candidates, texts, similarity))
-    good = links.where("ok").select("a", "b")
-    failed = links.where("not ok")
+    texts = texts_of(docs, nodes.join(ends, "node"))
+    links = verified(candidates, texts, similarity)
+    good, failed = links.where("ok").select("a", "b"), links.where("not ok").select("a", "b")
+    comp = components(good)
+    done = [candidates, texts, links]
     if failed.limit(1).count():
-        whole = components(candidates)
-        bad = failed.select(F.col("a").alias("node")).join(whole, "node").select("component").distinct()
-        rest = whole.join(bad, "component", "left_semi").select("node")
+        # what a cell's forest had joined is now in parts, and each holds an end of a candidate that failed
         label = F.coalesce("component", "node").alias("label")
-        rest = known.join(rest, "node").join(components(good), "node", "left").select("node", "sim", "chars", *nodes.columns[5:], label)
-        with batch_rows(spark, SLIM_BATCH):
-            pairs = cut(meeting(rest, partial(apart, similarity=similarity), "label"))
-        more = verified(pairs, texts, similarity)
-        good = cut(good.union(more.where("ok").select("a", "b")))
-    return components(good)
-
-
-def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False, everywhere: bool = False) -> DataFrame:
-    """(doc, lines): the numbers of the lines to drop from each document that has such."""
-    found = cut(occurrences(docs, grams, everywhere))
-    extra = ["grams"] * grams
+        bad = failed.select(F.col("a").alias("node")).union(failed.select("b")).distinct()
+        bad = bad.join(comp, "node", "left").select(label).distinct()
+        rest = nodes.join(ends, "node").join(comp, "node", "left").select("node", "sim", "chars", "grams", label)
+        pairs = meet(cells(rest.join(bad, "label", "left_semi"), "label"), parts_in_cell(similarity, radius))
+        more = verified(pairs.join(failed, ["a", "b"], "left_anti"), texts, similarity)
+        done += [pairs, more]
+        if more.where("ok").limit(1).count():
+            done.append(comp)
+            comp = components(good.union(more.where("ok").select("a", "b")))
+    forget(*done)
+    return comp
+
+
+def dropped_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, doc, lines), as a table: the numbers of the lines to drop from each document that has such."""
+    found = occurrences(docs)
     place = F.struct("doc_id", "doc", "line")
-    groups = cut(found.groupBy("node").agg(F.min(place).alias("rep"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("chars").alias("chars"), *[F.first(c).alias(c) for c in extra]))
-    nodes = groups.where("chars > 0").select("node", "sim", "chars", "rep.doc", "rep.line", *extra)
-    comp = cut(similar_lines(docs, nodes, radius, similarity))
-    reps = groups.drop("grams").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    joined = reps.join(comp.select("component").distinct(), "component", "left_semi")
+    groups = found.groupBy("hash", "hash2").agg(F.min(place).alias("rep"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("sim", "chars", "grams")])
+    groups = cut(groups.withColumn("node", F.monotonically_increasing_id()))
+    nodes = groups.where("chars > 0").select("node", "sim", "chars", "grams", "rep.*")
+    comp = similar_lines(docs, nodes, radius, similarity)
+    slim = groups.select("node", "hash", "hash2", "rep", "n")
+    joined = slim.join(comp, "node")
     best = joined.groupBy("component").agg(F.min("rep").alias("best"))
-    joined = joined.drop("rep").join(best, "component").select("node", "best")
-    alone = groups.where("n > 1").join(comp.select("node"), "node", "left_anti").select("node", F.col("rep").alias("best"))
-    keep = bounded(cut(joined.unionByName(alone)))
-    gone = found.join(keep, "node").where(~place.eqNullSafe(F.col("best"))).select("doc", "line")
-    return cut(gone.groupBy("doc").agg(F.collect_set("line").alias("lines")))
+    joined = joined.join(best, "component").select("hash", "hash2", "best")
+    alone = slim.where("n > 1").join(comp.select("node"), "node", "left_anti").select("hash", "hash2", F.col("rep").alias("best"))
+    keep = cut(joined.unionByName(alone))
+    gone = found.select("doc_id", "doc", "line", "hash", "hash2").join(bounded(keep, 80), ["hash", "hash2"])
+    gone = gone.where(~place.eqNullSafe(F.col("best"))).groupBy("doc_id", "doc").agg(F.collect_set("line").alias("lines"))
+    out = cut(gone)
+    forget(found, groups, comp, keep)
+    return out
 
 
-def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, grams: bool = False, everywhere: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """docs with their text after dedup, plus lines_in and lines_dropped."""
-    own = docs.select("doc_id", "text")
-    gone = dropped_lines(own, radius, similarity, grams, everywhere).withColumnRenamed("doc", "__doc").withColumnRenamed("lines", "__gone")
-    def rest(lines: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    i, d, g = (fresh(docs, x) for x in ("i", "d", "g"))
+    gone = dropped_lines(docs.select("doc_id", "text"), radius, similarity).toDF(i, d, g)
 
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(bind(F.split("text", "\n"), rest))
-    out = docs.withColumn("__doc", F.xxhash64("doc_id", "text")).join(bounded(gone), "__doc", "left")
-    out = out.withColumn("lines_in", F.coalesce(F.size(F.split("text", "\n")), F.lit(0))).withColumn("lines_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
-    return out.withColumn("text", text).drop("__doc", "__gone")
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(g))
+        return F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n")
+
+    text = F.when(F.col(g).isNull(), F.col("text")).otherwise(bind(F.split("text", "\n"), rest))
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("doc_id", "text") == F.col(d))
+    out = docs.join(bounded(gone, 24, F.size(g) + 2), same, "left")
+    counts = {"lines_in": F.coalesce(F.size(F.split("text", "\n")), F.lit(0)), "lines_dropped": F.coalesce(F.size(g), F.lit(0))}
+    own = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts]
+    return out.select(*own, *[v.alias(c) for c, v in counts.items()])

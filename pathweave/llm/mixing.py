@@ -8,7 +8,12 @@ decided by a hash of the seed, its id and its text, so reruns agree.
 
 Defined cases: null texts have no tokens; documents without tokens follow their source's rate too;
 a source without tokens has target and rate 0; rows that repeat an id and text get one decision;
-an empty table gives no rows; other columns pass through unchanged (extra names begin with mix_).
+an empty table gives no rows; other columns pass through unchanged (those added are named mix_size,
+mix_source_size, mix_target, mix_copies and mix_copy, and replace columns of these names).
+
+Independent copies leave a source's taken words near its target by chance: relative to the target,
+one standard deviation is the square root of the sum, over its documents, of f(1 - f) size^2, over
+the target, f being the fraction.
 """
 
 from __future__ import annotations
@@ -16,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, global_rank
+from .common import cut, fresh, global_rank
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2.0, 11
 #: A table of sources up to this size is broadcast; a larger one is joined with salted keys.
-BROADCAST_SOURCES, SALTS = 100_000, 16
+BROADCAST_SOURCES, SALTS, TRIES = 100_000, 16, 24
 
 
 def tokens(text: Column) -> Column:
@@ -28,6 +33,27 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def water_level(own: DataFrame, budget: float, most: float, level: float) -> float:
+    """The level at which the targets, weight times level but at most `most` times the size, add up to the budget.
+
+    level: one that is not too high. Each pass takes the sums for TRIES levels in one row, goes on from
+    the highest that is not too high and solves for the level with the sources capped there. A pass
+    narrows the range by a factor of TRIES at least, so passes do not grow with the number of sources.
+    """
+    high, capped = None, -1
+    while True:
+        tries = [level * 4.0**i for i in range(TRIES)] if high is None else [level + (high - level) * i / TRIES for i in range(TRIES)]
+        over = [F.col("weight") * t > most * F.col("source_size") for t in tries]
+        sums = own.agg(*[F.struct(F.sum(o.cast("long")), F.sum(F.when(o, F.col("source_size")).otherwise(0)), F.sum(F.when(o, 0.0).otherwise(F.col("weight")))) for o in over]).first()
+        fits = [i for i, (n, size, left) in enumerate(sums) if most * size + left * tries[i] <= budget * (1 + 1e-12)]
+        at = max(fits, default=0)
+        n, size, left = sums[at]
+        if n == capped or not left:
+            return tries[at]
+        high = tries[at + 1] if at + 1 < len(tries) else high
+        level, capped = max(tries[at], (budget - most * size) / left), n
+
+
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(source, source_size, target) from rows (source, size). Only sums come to the driver."""
     own = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -37,25 +63,20 @@ def targets(sized: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
     total, all_weight = own.agg(F.sum("source_size"), F.sum("weight")).first()
     if total is None:
         return own.select("source", "source_size", F.lit(0.0).alias("target"))
-    level, capped = share * total / all_weight, 0
-    while True:  # each round caps at least one source more
-        over = F.col("weight") * level > most * F.col("source_size")
-        n, size, left = own.agg(F.sum(over.cast("long")), F.sum(F.when(over, F.col("source_size")).otherwise(0)), F.sum(F.when(over, 0.0).otherwise(F.col("weight")))).first()
-        if n == capped or not left:
-            break
-        level, capped = (share * total - most * size) / left, n
+    level = water_level(own, share * total, most, share * total / all_weight)
     return own.select("source", "source_size", F.least(F.col("weight") * level, most * F.col("source_size")).alias("target"))
 
 
 def with_targets(docs: DataFrame, goal: DataFrame) -> DataFrame:
-    """docs joined to their source's row; a hot source is not gathered anywhere."""
-    goal = goal.withColumnRenamed("source", "mix_source")
-    same = F.col("source").eqNullSafe(F.col("mix_source"))
+    """docs joined to their source's row (source, ...); a hot source is not gathered anywhere."""
+    key, salt, own = (fresh(docs, c) for c in ("source", "salt", "own"))
+    goal = goal.withColumnRenamed("source", key)
+    same = F.col("source").eqNullSafe(F.col(key))
     if goal.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        return docs.join(F.broadcast(goal), same).drop("mix_source")
-    goal = goal.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    docs = docs.withColumn("mix_own", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    return docs.join(goal, same & (F.col("mix_own") == F.col("mix_salt"))).drop("mix_source", "mix_salt", "mix_own")
+        return docs.join(F.broadcast(goal), same).drop(key)
+    goal = goal.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    docs = docs.withColumn(own, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return docs.join(goal, same & (F.col(own) == F.col(salt))).drop(key, salt, own)
 
 
 def plan(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
@@ -65,7 +86,7 @@ def plan(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
     rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(0.0)
     spot = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), 11) / float(1 << 53)
     copies = F.floor(rate) + F.when(spot < rate - F.floor(rate), 1).otherwise(0)
-    joined = with_targets(docs.withColumn("mix_size", tokens(F.col("text"))), goal)
+    joined = with_targets(docs.drop("mix_source_size", "mix_target").withColumn("mix_size", tokens(F.col("text"))), goal)
     return joined.withColumn("mix_copies", copies.cast("int"))
 
 

@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read, small_batches
+from .common import held_out, read
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import line_dedup as op
 
-    small_batches(spark)
-    found = op.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), grams=True, everywhere=True)
+    found = op.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "text", "lines_in", "lines_dropped")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import langid as op
 
-    small_batches(spark)
     docs = read(spark, sf_dir, "documents")
     found = op.predict(docs.select("doc_id", "text"), op.fit(docs.select("doc_id", "text", "lang")))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
@@ -34,7 +32,6 @@ def op3_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe as op
 
-    small_batches(spark)
     coded = op.decode(op.encode(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids"))
     return coded.select(
         "doc_id",
@@ -70,7 +67,6 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity as op
 
-    small_batches(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = op.predict(docs, op.fit(docs, read(spark, sf_dir, "labels")))
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -121,14 +117,12 @@ from b group by conv_id
 def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import syncmers as op
 
-    small_batches(spark)
     return op.edited_likeness(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash_dedup as op
 
-    small_batches(spark)
     found = op.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", op.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 

@@ -6,11 +6,12 @@ Hamming distance. Two fingerprints within 4 bits therefore lie within 2 in at le
 the vector (16 segments): each half is a grid with one cell for each count vector, every
 fingerprint goes to its own cell and to those one step away, and any two within 2 meet in a cell.
 What meets is verified exactly on all 64 bits. A cell gives a spanning forest of its links, never
-all its pairs, so large groups of near copies cost rows in proportion to their size.
+all its pairs (cells.py), so large groups of near copies cost rows in proportion to their size.
 
 Defined cases: null, empty and word-free texts have the fingerprint zero and are linked with each
 other; equal fingerprints are one node, however many documents share it; rows that repeat a
-doc_id each get a row; an empty table gives an empty result; other columns are ignored.
+doc_id each get a row; an empty table gives an empty result; other columns, whatever their names, are
+ignored by near_duplicates and pass through keep_one.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLIM_BATCH, batch_rows, bounded, components, cut, released, series_udf
+from .cells import linked, meet
+from .common import bounded, components, cut, fresh, series_udf
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
 
@@ -73,131 +75,58 @@ def cells(fp: Column) -> Column:
     return F.concat(half(0), half(1))
 
 
-def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest row that each of n rows is connected to by the links i-j."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
-def all_fit(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    return np.ones(len(i), bool)
-
-
-def long_run(fps: np.ndarray, radius: int, fit=all_fit, tile: int = 2048) -> np.ndarray:
-    """roots() of one cell with many fingerprints, tile by tile, so in bounded memory."""
-    label = np.arange(len(fps))
-    for top in range(0, len(fps), tile):
-        for left in range(top, len(fps), tile):
-            i, j = np.nonzero(np.bitwise_count(fps[top : top + tile, None] ^ fps[None, left : left + tile]) <= radius)
-            i, j = i + top, j + left
-            new = label[i] != label[j]
-            i, j = i[new], j[new]
-            new = fit(i, j)
-            if new.any():
-                label = roots(len(fps), np.append(i[new], np.arange(len(fps))), np.append(j[new], label))
-    return label
-
-
-def linked(keys: np.ndarray, fps: np.ndarray, radius: int, fit=all_fit, long: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Rows linked with a smaller row (a spanning forest for each cell) among rows sorted by cell.
-
-    fit(i, j): which pairs of rows within the radius are links.
-    """
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    sizes = np.diff(np.append(starts, len(keys)))
-    run = np.repeat(np.arange(len(starts)), sizes)
-    i, j = [], []
-    left = np.where(sizes[run] <= long, np.repeat(starts + sizes, sizes) - 1 - np.arange(len(keys)), 0)
-    at = np.flatnonzero(left)
-    for d in range(1, long):
-        at = at[left[at] >= d]  # rows with a row of their cell d places on
-        if not len(at):
-            break
-        near = at[np.bitwise_count(fps[at] ^ fps[at + d]) <= radius]
-        near = near[fit(near, near + d)]
-        i.append(near)
-        j.append(near + d)
-    i, j = (np.concatenate(x) if x else np.empty(0, int) for x in (i, j))
-    label = roots(len(keys), i, j)
-    for k in np.flatnonzero(sizes > long):
-        s = starts[k]
-        label[s : s + sizes[k]] = s + long_run(fps[s : s + sizes[k]], radius, lambda x, y, s=s: fit(x + s, y + s))
-    rows = np.flatnonzero(label != np.arange(len(keys)))
-    return label[rows], rows
-
-
-def links_in_cells(radius: int, columns: tuple[str, ...] = ("cell", "fp", "fp"), join=linked, least: int = 1 << 17):
-    """For mapInPandas over rows sorted by cell; a cell that spans batches is held together.
-
-    Whole cells are joined once `least` rows have come, as small batches would take longer.
-
-    columns: the cell, the fingerprint, the node that links name (and what else `join` asks for).
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[list[np.ndarray]] = []
-        rows = 0
-
-        def out(parts):
-            keys, fps, nodes, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
-            a, b = join(keys, fps.view(np.uint64), radius, *rest)
-            return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
-
-        for batch in batches:
-            own = [batch[c].to_numpy(np.int64) for c in columns]
-            keys = own[0]
-            if not len(keys):
-                continue
-            last = int(np.searchsorted(keys, keys[-1]))
-            if rows + last >= least and (last or held[-1][0][-1] != keys[0]):
-                yield out([*held, [x[:last] for x in own]])
-                held, rows, own = [], 0, [x[last:] for x in own]
-            held.append(own)
-            rows += len(own[0])
-        if held:
-            yield out(held)
-
-    return run
-
-
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) that connect what any chain of pairs within the radius connects. fps: distinct fp."""
     if not 0 <= radius <= 4:
         raise ValueError("cells meet up to a distance of 2 in a half: a radius of 4 at most")
-    dealt = fps.select(F.explode(cells(F.col("fp"))).alias("cell"), "fp").repartition("cell").sortWithinPartitions("cell", "fp")
-    with batch_rows(fps.sparkSession, SLIM_BATCH):
-        return cut(dealt.mapInPandas(released(links_in_cells(radius)), "a long, b long").distinct())
+    # each row becomes some fifty: deal the few bytes out first, to a number of tasks that stays
+    spread = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    rows = spread.select(F.explode(cells(F.col("fp"))).alias("cell"), "fp", F.col("fp").alias("node"))
+    return meet(rows, lambda cell, fp, node: linked(cell, fp, radius))
+
+
+def grouped_rows(own: DataFrame, links: DataFrame) -> DataFrame:
+    """own (doc_id, mark, node) plus component_id and kept, given links between nodes.
+
+    component_id: the smallest doc_id of the rows that links connect (null if none has one); kept:
+    whether the row is the least of them by (doc_id, mark), rows without a doc_id last.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("doc_id"), F.col("mark").alias("mark"))
+    nodes = cut(own.groupBy("node").agg(F.min(place).alias("least")))
+    comp = components(links)
+    of = nodes.join(comp, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
+    least = of.groupBy("component").agg(F.min("least").alias("least"))
+    # a table of one row a node: where it is too large to be broadcast, a node that many rows share can still be split
+    of = cut(of.select("node", "component").join(least, "component").select("node", "least"))
+    out = own.join(bounded(of, 64), "node")
+    return out.select("doc_id", "mark", "node", F.col("least.doc_id").alias("component_id"), (place == F.col("least")).alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id that links reach."""
-    own = cut(docs.select("doc_id", series_udf(simhash_series, T.LongType())(F.col("text")).alias("fp")))
-    nodes = own.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    comp = components(fingerprint_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    of = nodes.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    grouped = comp.join(of.where("component <> fp").select("component").distinct(), "component", "left_semi")
-    grouped = cut(grouped.join(least, "component").select("fp", "component_id"))
-    of_fp = nodes.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return own.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    """(doc_id, mark, fp, component_id, kept): component_id is the smallest doc_id that links reach; see grouped_rows.
+
+    mark: a hash of the text, which tells rows of one doc_id apart.
+    """
+    own = cut(docs.select("doc_id", F.xxhash64("text").alias("mark"), series_udf(simhash_series, T.LongType())(F.col("text")).alias("node")))
+    links = fingerprint_links(own.select(F.col("node").alias("fp")).distinct(), radius)
+    return grouped_rows(own, links).withColumnRenamed("node", "fp")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, grouped: DataFrame | None = None) -> DataFrame:
-    """docs with one document (the smallest doc_id) of each group of near-duplicates, all columns.
+    """docs with one document of each group of near-duplicates, all columns.
 
-    grouped: (doc_id, component_id), by near_duplicates() unless given.
-    doc_id is the document's key: rows that repeat one become one. Documents without a doc_id stay.
+    The least by (doc_id, hash of the text) stays, documents without a doc_id last; of rows that
+    repeat both, the least by all columns. Rows that share a doc_id but no group all stay.
+    grouped: (doc_id, mark, kept), by near_duplicates() unless given.
     """
-    found = cut((near_duplicates(docs, radius) if grouped is None else grouped).select("doc_id", "component_id"))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(bounded(cut(gone)), "doc_id", "left_anti")
-    repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    found = cut((near_duplicates(docs, radius) if grouped is None else grouped).select("doc_id", "mark", "kept"))
+    i, m = fresh(docs, "i"), fresh(docs, "m")
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(m))
+    keyed = lambda df: cut(df.select(F.col("doc_id").alias(i), F.col("mark").alias(m)).distinct())
+    kept = docs.join(bounded(keyed(found.where("not kept"))), same, "left_anti")
+    repeated = keyed(found.where("kept").groupBy("doc_id", "mark").count().where("count > 1"))
+    if not repeated.limit(1).count():
+        return kept
+    repeated = bounded(repeated)
+    one = kept.join(repeated, same, "left_semi").groupBy("doc_id", F.xxhash64("text")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    return kept.join(repeated, same, "left_anti").unionByName(one.select("row.*"))

@@ -122,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs plus score."""
+    """docs plus score; it replaces a column of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
