@@ -87,29 +87,61 @@ def linked(keys: np.ndarray, fps: np.ndarray, radius: np.ndarray | int, fit: Fit
     return label[rows], rows
 
 
-def apart(keys: np.ndarray, fps: np.ndarray, radius: np.ndarray | int, fit: Fit, label: np.ndarray, tile: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows in a cell within the radius that fit and whose labels differ."""
+def parted(keys: np.ndarray, fps: np.ndarray, radius: np.ndarray | int, fit: Fit, label: np.ndarray, tile: int = 2048) -> np.ndarray:
+    """The rows that have a row of another label in their cell within the radius that fits."""
     radius = np.broadcast_to(radius, len(keys))
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    out = [(np.empty(0, int), np.empty(0, int))]
+    out = np.zeros(len(keys), bool)
     for s, e in zip(starts, np.append(starts[1:], len(keys)), strict=True):
         if e - s < 2 or (label[s:e] == label[s]).all():
             continue
         for top in range(s, e, tile):
             for left in range(top, e, tile):
-                x, y = slice(top, min(top + tile, e)), slice(left, min(left + tile, e))
-                near = (np.bitwise_count(fps[x, None] ^ fps[None, y]) <= radius[s]) & (label[x, None] != label[None, y])
-                i, j = np.nonzero(np.triu(near, 1) if top == left else near)
-                i, j = i + top, j + left
-                near = fit(i, j)
-                out.append((i[near], j[near]))
-    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+                i, j = near_pairs(fps, slice(top, min(top + tile, e)), slice(left, min(left + tile, e)), radius[s], label)
+                fits = fit(i, j)
+                out[i[fits]] = out[j[fits]] = True
+    return np.flatnonzero(out)
+
+
+def near_pairs(fps: np.ndarray, x: slice, y: slice, radius: int, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row of x and a later one of y within the radius whose labels differ."""
+    near = (np.bitwise_count(fps[x, None] ^ fps[None, y]) <= radius) & (label[x, None] != label[None, y])
+    i, j = np.nonzero(np.triu(near, 1) if x == y else near)
+    return i + x.start, j + y.start
+
+
+def connect(fps: np.ndarray, radius: int, label: np.ndarray, alike: Fit, tile: int = 1024, some: int = 64) -> list[tuple[int, int]]:
+    """Links between the rows of one cell that connect all labels that any pair within the radius that is alike connects.
+
+    alike is dear: nearest pairs come first, and pairs that are connected by then are not compared.
+    """
+    label, links = np.unique(label, return_inverse=True)[1], []
+    for top in range(0, len(fps), tile):
+        for left in range(top, len(fps), tile):
+            i, j = near_pairs(fps, slice(top, min(top + tile, len(fps))), slice(left, min(left + tile, len(fps))), radius, label)
+            order = np.argsort(np.bitwise_count(fps[i] ^ fps[j]), kind="stable")
+            i, j = i[order], j[order]
+            while len(i):
+                for a, b in zip(i[:some].tolist(), j[:some].tolist(), strict=True):
+                    if label[a] != label[b] and alike(a, b):
+                        links.append((a, b))
+                        label[label == label[b]] = label[a]
+                i, j = i[some:], j[some:]
+                rest = label[i] != label[j]
+                i, j = i[rest], j[rest]
+    return links
+
+
+def forest(keys: np.ndarray, fps: np.ndarray, node: np.ndarray, radius: np.ndarray | int, fit: Fit = all_fit) -> tuple[np.ndarray, np.ndarray]:
+    """linked(), as nodes."""
+    i, j = linked(keys, fps, radius, fit)
+    return node[i], node[j]
 
 
 def streamed(join, columns: list[str], chunk: int | None):
     """For mapInArrow over rows sorted by cell: links (a, b) of whole cells, and the rows of cells over `chunk`.
 
-    join(cell, fp, node, ...) gives the rows linked; links name their nodes.
+    join(cell, fp, node, ...) gives the values of a and b, nodes as a rule.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("over", pa.bool_()), *[(c, pa.int64()) for c in columns]])
 
@@ -117,7 +149,7 @@ def streamed(join, columns: list[str], chunk: int | None):
         cols = [np.concatenate(x) for x in zip(*held, strict=True)]
         cols[1] = cols[1].view(np.uint64)
         a, b = join(*cols)
-        return pa.RecordBatch.from_arrays([pa.array(cols[2][a]), pa.array(cols[2][b]), pa.array(np.zeros(len(a), bool)), *[pa.nulls(len(a), pa.int64())] * len(columns)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), bool)), *[pa.nulls(len(a), pa.int64())] * len(columns)], schema=schema)
 
     def passed(cols: list[np.ndarray]) -> pa.RecordBatch:
         n = len(cols[0])
@@ -157,19 +189,22 @@ def streamed(join, columns: list[str], chunk: int | None):
     return released(run)
 
 
-def meet(rows: DataFrame, join, chunk: int | None = None) -> DataFrame:
-    """Links (a, b), a < b, as a table, from rows (cell, fp, node, ...: long, no nulls)."""
+def meet(rows: DataFrame, join, chunk: int | None = None, links: bool = True) -> DataFrame:
+    """What join gives for all cells, as a table (a, b) of distinct rows: links with the lesser node first, or other pairs.
+
+    rows: (cell, fp, node, ...: long, no nulls). Where a cell is dealt to pairs of chunks, those are what join sees.
+    """
     columns, chunk = rows.columns, chunk or CHUNK
     spark = rows.sparkSession
 
     def found(own: DataFrame, most: int | None) -> DataFrame:
         schema = "a long, b long, over boolean, " + ", ".join(f"{c} long" for c in columns)
-        dealt = own.repartition("cell").sortWithinPartitions("cell", *columns[1:3])
+        dealt = own.repartition("cell").sortWithinPartitions("cell")
         with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
             return cut(dealt.mapInArrow(streamed(join, columns, most), schema))
 
     first = found(rows, chunk)
-    tables, links = [first], first.where("not over").select("a", "b")
+    tables, pairs = [first], first.where("not over").select("a", "b")
     rest = first.where("over").select(*columns)
     if rest.limit(1).count():
         sizes = rest.groupBy("cell").agg(F.ceil(2 * F.count("*") / F.lit(chunk)).cast("int").alias("parts"))
@@ -181,7 +216,9 @@ def meet(rows: DataFrame, join, chunk: int | None = None) -> DataFrame:
         dealt = dealt.withColumn("cell", F.when(F.col("cell") < 0, -F.abs(pair.bitwiseAND((1 << 62) - 1)) - 1).otherwise(pair.bitwiseAND((1 << 62) - 1)))
         more = found(dealt.select(*columns), None)
         tables.append(more)
-        links = links.union(more.where("not over").select("a", "b"))
-    out = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        pairs = pairs.union(more.where("not over").select("a", "b"))
+    if links:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    out = cut(pairs.distinct())
     forget(*tables)
     return out

@@ -11,8 +11,9 @@ connected group, equal lines included, the occurrence of the least (doc_id, line
 the others leave their documents.
 
 A key's lines give a spanning forest of candidates instead of all pairs (cells.py). Only where a
-candidate fails the edit check are the pairs between the parts that it would have joined looked at
-as well, so connectedness is that of all verified pairs that meet. The number of blocks follows the
+candidate fails the edit check are the parts that it would have joined looked at again: cell by
+cell, with texts, nearest pairs first and none between lines that are connected by then. So
+connectedness is that of all verified pairs that meet. The number of blocks follows the
 number of lines; the result does not depend on it.
 
 Lines of fewer than MIN_WORDS words agree by chance and are compared for equality alone, over all
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .cells import apart, linked, meet
+from .cells import connect, forest, meet, parted
 from .common import bind, bounded, components, cut, forget, fresh, released, setting, slices
 
 RADIUS, MIN_WORDS, MIN_CHARS, MAX_WORD, SIMILARITY = 3, 5, 40, 16, 0.8
@@ -53,8 +54,8 @@ GRAMS, GRAM_RADIUS = ((16, 4, None), (8, 2, 80)), 16
 BASE = 0x9E3779B97F4A7C15
 #: Odd factors of the MinHashes.
 FACTORS = [pow(BASE, 2 * k + 3, 1 << 64) for k in range(16)]
-#: Bytes hashed at once; documents in an Arrow batch.
-PIECE, BATCH = 1 << 16, 1000
+#: Bytes hashed at once; documents or lines in an Arrow batch; lines of a cell whose texts a task holds.
+PIECE, BATCH, PARTS = 1 << 16, 1000, 8192
 #: A space for each ASCII byte but letters, digits and the line feed.
 SIGNS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 #: A byte's eight bits, one in each byte of a word.
@@ -250,11 +251,44 @@ def reach(cell: np.ndarray, radius: int) -> np.ndarray:
 
 
 def candidates_in_cell(similarity: float, radius: int):
-    return lambda cell, fps, node, chars: linked(cell, fps, reach(cell, radius), same_length(chars, similarity))
+    return lambda cell, fps, node, chars: forest(cell, fps, node, reach(cell, radius), same_length(chars, similarity))
 
 
 def parts_in_cell(similarity: float, radius: int):
-    return lambda cell, fps, node, chars, label: apart(cell, fps, reach(cell, radius), same_length(chars, similarity), label)
+    """(cell, node) of the lines that have one of another part near."""
+
+    def join(cell, fps, node, chars, label):
+        rows = parted(cell, fps, reach(cell, radius), same_length(chars, similarity), label)
+        return cell[rows], node[rows]
+
+    return join
+
+
+def joined_parts(similarity: float, radius: int):
+    """For mapInArrow over (cell, sim, node, label, raw) sorted by cell: links (a, b) of lines that are alike, which connect the parts."""
+
+    def of(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        cell = rows[0].column("cell")[0].as_py()
+        fps, node, label = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("sim", "node", "label"))
+        texts = [normal_lines(t)[0].decode() for r in rows for t in r.column("raw").to_pylist()]
+        links = connect(fps.view(np.uint64), GRAM_RADIUS if cell < 0 else radius, label, lambda i, j: alike(texts[i], texts[j], similarity))
+        return pa.RecordBatch.from_arrays([pa.array(node[[x[k] for x in links]]) for k in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            cell = batch.column("cell").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else []
+            for s, e in zip(starts, [*starts[1:], len(cell)], strict=True):
+                if held and cell[s] != now:
+                    yield of(held)
+                    held = []
+                held.append(batch.slice(s, e - s))
+                now = cell[s]
+        if held:
+            yield of(held)
+
+    return released(run)
 
 
 def shared(a, b) -> int:
@@ -366,12 +400,15 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
         bad = failed.select(F.col("a").alias("node")).union(failed.select("b")).distinct()
         bad = bad.join(comp, "node", "left").select(label).distinct()
         rest = nodes.join(ends, "node").join(comp, "node", "left").select("node", "sim", "chars", "grams", label)
-        pairs = meet(cells(rest.join(bad, "label", "left_semi"), "label"), parts_in_cell(similarity, radius))
-        more = verified(pairs.join(failed, ["a", "b"], "left_anti"), texts, similarity)
-        done += [pairs, more]
-        if more.where("ok").limit(1).count():
+        rest = cut(rest.join(bad, "label", "left_semi"))
+        met = meet(cells(rest, "label"), parts_in_cell(similarity, radius), PARTS, links=False).toDF("cell", "node")
+        dealt = met.join(rest.select("node", "sim", "label"), "node").join(texts, "node").select("cell", "sim", "node", "label", "raw")
+        with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
+            more = cut(dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(joined_parts(similarity, radius), "a long, b long"))
+        done += [rest, more]
+        if more.limit(1).count():
             done.append(comp)
-            comp = components(good.union(more.where("ok").select("a", "b")))
+            comp = components(good.union(more))
     forget(*done)
     return comp
 

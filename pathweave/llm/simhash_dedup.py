@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .cells import linked, meet
+from .cells import forest, meet
 from .common import bounded, components, cut, fresh, series_udf
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
@@ -82,7 +82,7 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     # each row becomes some fifty: deal the few bytes out first, to a number of tasks that stays
     spread = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     rows = spread.select(F.explode(cells(F.col("fp"))).alias("cell"), "fp", F.col("fp").alias("node"))
-    return meet(rows, lambda cell, fp, node: linked(cell, fp, radius))
+    return meet(rows, lambda cell, fp, node: forest(cell, fp, node, radius))
 
 
 def grouped_rows(own: DataFrame, links: DataFrame) -> DataFrame:
