@@ -110,25 +110,29 @@ def near_pairs(fps: np.ndarray, x: slice, y: slice, radius: int, label: np.ndarr
     return i + x.start, j + y.start
 
 
-def connect(fps: np.ndarray, radius: int, label: np.ndarray, alike: Fit, tile: int = 1024, some: int = 64) -> list[tuple[int, int]]:
+def connect(fps: np.ndarray, radius: int, label: np.ndarray, alike: Fit, tile: int = 1024, some: int = 32, most: int = 4096) -> list[tuple[int, int]]:
     """Links between the rows of one cell that connect all labels that any pair within the radius that is alike connects.
 
-    alike is dear: nearest pairs come first, and pairs that are connected by then are not compared.
+    alike(i, j) is dear: nearest pairs come first, and pairs that are connected by then are not
+    compared. Pairs are taken in batches that grow, so that little is compared in vain.
     """
     label, links = np.unique(label, return_inverse=True)[1], []
     for top in range(0, len(fps), tile):
         for left in range(top, len(fps), tile):
             i, j = near_pairs(fps, slice(top, min(top + tile, len(fps))), slice(left, min(left + tile, len(fps))), radius, label)
             order = np.argsort(np.bitwise_count(fps[i] ^ fps[j]), kind="stable")
-            i, j = i[order], j[order]
-            while len(i):
-                for a, b in zip(i[:some].tolist(), j[:some].tolist(), strict=True):
-                    if label[a] != label[b] and alike(a, b):
-                        links.append((a, b))
-                        label[label == label[b]] = label[a]
-                i, j = i[some:], j[some:]
-                rest = label[i] != label[j]
-                i, j = i[rest], j[rest]
+            i, j, size, at = i[order], j[order], some, 0
+            while at < len(i):
+                x, y = i[at : at + size], j[at : at + size]
+                at += size
+                rest = label[x] != label[y]
+                x, y = x[rest], y[rest]
+                found = np.flatnonzero(alike(x, y)) if len(x) else x
+                for p, q in zip(x[found].tolist(), y[found].tolist(), strict=True):
+                    if label[p] != label[q]:
+                        links.append((p, q))
+                        label[label == label[q]] = label[p]
+                size = some if len(found) else min(2 * size, most)
     return links
 
 

@@ -6,7 +6,8 @@ others). Fingerprints within RADIUS bits agree on all but RADIUS of the blocks t
 cut into, so every choice of the remaining blocks is a key under which such lines meet. One replaced
 word of ten moves a SimHash by eight bits, which no pigeonhole blocks can serve, so lines also meet
 by MinHashes of their character n-grams (GRAMS) and are then candidates within GRAM_RADIUS bits.
-What meets is verified: an edit distance of at most a fifth of the longer line's length. Of each
+What meets and shares three quarters of its words (SHARED) is verified: an edit distance of at most a
+fifth of the longer line's length. Of each
 connected group, equal lines included, the occurrence of the least (doc_id, line number) stays and
 the others leave their documents.
 
@@ -51,6 +52,8 @@ BLOCKS = ((50_000_000, 4), (1_000_000_000, 5), (None, 6))
 #: (bytes of an n-gram, MinHashes of them, most bytes of the lines that get them or None), and the
 #: SimHash radius of what meets by them.
 GRAMS, GRAM_RADIUS = ((16, 4, None), (8, 2, 80)), 16
+#: The share of words that lines must have in common (Dice, over so many hashed bits) for their edit distance to be looked at.
+SHARED, SHARED_BITS = 0.75, 2048
 BASE = 0x9E3779B97F4A7C15
 #: Odd factors of the MinHashes.
 FACTORS = [pow(BASE, 2 * k + 3, 1 << 64) for k in range(16)]
@@ -105,18 +108,25 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
-def simhashes(h: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """SimHashes of lines, given all words' hashes and each line's first word and number of words.
+def features(h: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A hash for each word and how many of it came before in the line, line by line.
 
-    The features are (word, how many of it came before in the line): by words alone all lines in
-    which one word prevails would have that word's hash. Eight bits at a time are spread to the bytes of a word and added up, for at most 255 words.
+    By words alone all lines in which one word prevails would have that word's SimHash.
     """
     order = np.argsort(np.repeat(np.arange(len(words)).astype(np.uint64) << np.uint64(40), words) | h >> np.uint64(24), kind="stable")
     key = h[order]
     new = np.concatenate(([True], key[1:] != key[:-1]))
     new[first] = True
     group = np.flatnonzero(new)
-    h = mix(key + (np.arange(len(h)) - np.repeat(group, np.diff(np.append(group, len(h))))).astype(np.uint64))
+    return mix(key + (np.arange(len(h)) - np.repeat(group, np.diff(np.append(group, len(h))))).astype(np.uint64))
+
+
+def simhashes(h: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """SimHashes of lines, given all words' hashes and each line's first word and number of words.
+
+    Eight bits at a time are spread to the bytes of a word and added up, for at most 255 words.
+    """
+    h = features(h, first, words)
     parts = -(-words // 255)
     line = np.repeat(np.arange(len(words)), parts)
     begin = np.cumsum(parts) - parts
@@ -166,6 +176,17 @@ class Lines:
             out[i] = simhashes(h, np.zeros(1, np.int64), np.array([len(h)]))[0]
         return out
 
+    def word_bits(self) -> np.ndarray:
+        """For each line a row of bits, one for each of its words, hashed to SHARED_BITS; all bits where words are few or long."""
+        out = np.zeros((len(self.row), SHARED_BITS // 64), np.uint64)
+        if len(self.row):
+            h = features(word_hashes(self.data, self.word_starts, self.word_ends), self.first, self.words)
+            bit = h % np.uint64(SHARED_BITS)
+            at = np.repeat(np.arange(len(self.row)), self.words)
+            np.bitwise_or.at(out, (at, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+            out[self.unspaced()] = ~np.uint64(0)
+        return out
+
     def minhashes(self, width: int, keys: int, which: np.ndarray) -> np.ndarray:
         """For each line of `which`, `keys` minima of hashes of its runs of `width` bytes: 8 or 16.
 
@@ -270,8 +291,8 @@ def joined_parts(similarity: float, radius: int):
     def of(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         cell = rows[0].column("cell")[0].as_py()
         fps, node, label = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("sim", "node", "label"))
-        texts = [normal_lines(t)[0].decode() for r in rows for t in r.column("raw").to_pylist()]
-        links = connect(fps.view(np.uint64), GRAM_RADIUS if cell < 0 else radius, label, lambda i, j: alike(texts[i], texts[j], similarity))
+        same = Alike(Lines([t for r in rows for t in r.column("raw").to_pylist()]), similarity)
+        links = connect(fps.view(np.uint64), GRAM_RADIUS if cell < 0 else radius, label, same)
         return pa.RecordBatch.from_arrays([pa.array(node[[x[k] for x in links]]) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,6 +376,90 @@ def alike(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Texts as rows of small numbers for their characters, their lengths, and how many characters there are."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    known, codes = np.unique(flat, return_inverse=True)
+    out = np.zeros((len(texts), int(sizes.max(initial=0))), np.int32)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = codes
+    return out, sizes, len(known)
+
+
+def edit_distances(codes: np.ndarray, sizes: np.ndarray, letters: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The edit distances of rows a and b of coded texts that are not empty, all pairs at once.
+
+    Bit-parallel by words of 64 characters of a: a column of the table is two bits a character, and
+    what a word hands on to the next is a step up, down or neither.
+    """
+    words, one, n = -(-int(sizes[a].max()) // 64), np.uint64(1), len(a)
+    rows, at = np.unique(a, return_inverse=True)
+    there = np.zeros((len(rows), letters, words), np.uint64)  # where a character stands in a row
+    for i in range(int(sizes[rows].max())):
+        own = np.flatnonzero(sizes[rows] > i)
+        there[own, codes[rows[own], i], i // 64] |= one << np.uint64(i % 64)
+    up, down = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), np.uint64)
+    score, last, bit = sizes[a].copy(), (sizes[a] - 1) // 64, ((sizes[a] - 1) % 64).astype(np.uint64)
+    ends = [np.flatnonzero(last == w) for w in range(words)]
+    for j in range(int(sizes[b].max())):
+        letter, live = codes[b, j], sizes[b] > j
+        more, less = np.ones(n, np.uint64), np.zeros(n, np.uint64)
+        for w in range(words):
+            same = there[at, letter, w]
+            side = same | down[w]
+            same |= less
+            across = (((same & up[w]) + up[w]) ^ up[w]) | same
+            rise, fall = down[w] | ~(across | up[w]), up[w] & across
+            if len(own := ends[w]):
+                step = (rise[own] >> bit[own] & one).astype(np.int64) - (fall[own] >> bit[own] & one).astype(np.int64)
+                score[own] += step * live[own]
+            rise, fall, more, less = rise << one | more, fall << one | less, rise >> np.uint64(63), fall >> np.uint64(63)
+            up[w], down[w] = fall | ~(side | rise), rise & side
+    return score
+
+
+class Alike:
+    """alike() for many pairs of some normalised lines, by their numbers; pairs that share too few words are not alike.
+
+    Lines of up to `wide` characters are compared many at once.
+    """
+
+    def __init__(self, lines: Lines, similarity: float, wide: int = 512, many: int = 512):
+        self.texts, self.words, self.similarity, self.wide, self.many = [x.decode() for x in lines.bytes], lines.word_bits(), similarity, wide, many
+        self.held = np.bitwise_count(self.words).sum(axis=1, dtype=np.int64)
+        self.sizes = lines.chars.astype(np.int64)
+
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs share enough words."""
+        out = np.empty(len(a), bool)
+        for s in range(0, len(a), 4096):
+            i, j = a[s : s + 4096], b[s : s + 4096]
+            both = np.bitwise_count(self.words[i] & self.words[j]).sum(axis=1, dtype=np.int64)
+            out[s : s + 4096] = 2 * both >= SHARED * (self.held[i] + self.held[j])
+        return out
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), bool)
+        longer = np.maximum(self.sizes[a], self.sizes[b])
+        most = (longer * (1 - self.similarity) + 1e-9).astype(np.int64)
+        todo = np.flatnonzero(np.abs(self.sizes[a] - self.sizes[b]) <= most)
+        todo = todo[self.shared(a[todo], b[todo])]
+        single = longer[todo] > self.wide
+        for k in todo[single].tolist():
+            out[k] = alike(self.texts[a[k]], self.texts[b[k]], self.similarity)
+        todo = todo[~single]
+        todo = todo[np.argsort(longer[todo], kind="stable")]
+        for start in range(0, len(todo), self.many):
+            some = todo[start : start + self.many]
+            rows, at = np.unique(np.concatenate([a[some], b[some]]), return_inverse=True)
+            codes, own, letters = coded([self.texts[r] for r in rows.tolist()])
+            if letters > 512 or len(some) < 16:  # scripts of many characters, or few pairs
+                out[some] = [alike(self.texts[a[k]], self.texts[b[k]], self.similarity) for k in some.tolist()]
+            else:
+                out[some] = edit_distances(codes, own, letters, at[: len(some)], at[len(some) :]) <= most[some]
+        return out
+
+
 def texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(node, raw: the line as it stands), as a table, for reps (node, doc_id, doc, line)."""
     wanted = cut(reps.groupBy(F.col("doc_id").alias("id"), F.col("doc").alias("of")).agg(F.collect_list(F.struct("line", "node")).alias("wanted")))
@@ -374,7 +479,9 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
     @F.pandas_udf(T.BooleanType())
     def check(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([alike(normal_lines(p)[0].decode(), normal_lines(q)[0].decode(), similarity) for p, q in zip(a, b, strict=True)], dtype=bool)
+        own = Lines([*a, *b])
+        at = np.arange(len(a))
+        return pd.Series(Alike(own, similarity)(at, at + len(a)))
 
     return cut(pairs.join(x, "a").join(y, "b").select("a", "b", check("__x", "__y").alias("ok")))
 
