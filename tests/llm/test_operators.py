@@ -14,7 +14,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from pathweave.llm import bpe, chat, collision_ann, hilbert_shards, langid, line_dedup, mixing, queries, simhash_dedup, syncmers, toxicity
+from pathweave.llm import bpe, cells, chat, collision_ann, hilbert_shards, langid, line_dedup, mixing, queries, simhash_dedup, syncmers, toxicity
 from pathweave.llm.common import components, global_rank, held_out
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -46,7 +46,8 @@ def docs():
 @pytest.fixture(scope="module")
 def frame(spark, docs):
     # extra columns, some with names that operators use themselves
-    extra = {c: F.lit(7) for c in ("score", "rank", "line", "node", "fp", "size", "shard", "ids", "bucket", "component")}
+    names = "score rank line node fp size ids bucket component mark kept p o __p __i __m i m own other cell label of".split()
+    extra = {c: F.lit(7) for c in names}
     return spark.createDataFrame(docs, SCHEMA).withColumns(extra)
 
 
@@ -58,6 +59,9 @@ def test_components_and_ranks(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+    clash = spark.createDataFrame([(2, "b", 0), (1, "a", 0)], "p int, o string, rank int").withColumns({c: F.lit(5) for c in ("__p", "__o", "__m", "__k", "k")})
+    got = global_rank(clash, [F.col("p")], "place")
+    assert got.columns == [*clash.columns, "place"] and sorted((r["o"], r["place"], r["__p"]) for r in got.collect()) == [("a", 0, 5), ("b", 1, 5)]
     df = spark.createDataFrame([(i % 7, i) for i in range(500)], "k int, v int")
     got = sorted((r["k"], r["v"], r["rank"]) for r in global_rank(df, [F.col("k"), F.col("v")]).collect())
     assert [r[2] for r in got] == list(range(500))
@@ -95,7 +99,8 @@ def test_simhash_equals_scalar(docs):
 
 
 def test_near_duplicates(frame, docs):
-    got = [(r["doc_id"], r["fp"], r["component_id"]) for r in simhash_dedup.near_duplicates(frame).collect()]
+    found = simhash_dedup.near_duplicates(frame).collect()
+    got = [(r["doc_id"], r["fp"], r["component_id"]) for r in found]
     fps = [simhash_dedup.simhash(d[1]) for d in docs]
     root = union(len(docs), [(i, j) for i in range(len(docs)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
     least = {}
@@ -103,11 +108,22 @@ def test_near_duplicates(frame, docs):
         least[r] = min((x for x in (least.get(r), d[0]) if x is not None), default=None)
     want = [(d[0], fp - (1 << 64) * (fp >> 63), least[r]) for d, fp, r in zip(docs, fps, root, strict=True)]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
-    kept = [r["doc_id"] for r in simhash_dedup.keep_one(frame).collect()]
-    assert kept.count(None) == 1 and {x for x in kept if x is not None} == {c for _, _, c in want if c is not None} and len(kept) == len(set(kept))
+    # of each group one row stays, that of its least doc_id; rows that share a doc_id but no group all stay
+    kept = [(r["doc_id"], r["text"]) for r in simhash_dedup.keep_one(frame).collect()]
+    group = {(d[0], d[1]): r for d, r in zip(docs, root, strict=True)}
+    assert sorted(group[k] for k in kept) == sorted(set(root))
+    assert all(k[0] == least[group[k]] for k in kept) and (11, "another text under one id") in kept
     assert simhash_dedup.near_duplicates(empty(frame)).count() == 0
 
 
+def test_keep_one_drops_copies_only(spark):
+    same = "one text that stands here two times over and over"
+    rows = spark.createDataFrame([(3, same, 1), (3, "completely other words stand here now", 2), (2, same, 3), (2, same, 4), (None, same, 5), (7, None, 6), (8, "", 7)], "doc_id long, text string, p long")
+    got = sorted((r["doc_id"], r["p"]) for r in simhash_dedup.keep_one(rows).collect())
+    assert got == [(2, 3), (3, 2), (7, 6)]
+    assert simhash_dedup.keep_one(rows.where("p > 99")).count() == 0
+
+
 @pytest.mark.parametrize("n", [40, 400])
 def test_cells_lose_no_link(spark, n):
     """Random fingerprints and chains of small changes, against all pairs; 400 near ones fill one cell."""
@@ -126,75 +142,12 @@ def test_cells_lose_no_link(spark, n):
 def test_long_runs_in_tiles():
     rng = np.random.default_rng(0)
     fps = (rng.integers(0, 1 << 62, 30, dtype=np.uint64)[:, None] ^ (np.uint64(1) << rng.integers(0, 60, (30, 20)).astype(np.uint64))).ravel()
-    assert (simhash_dedup.long_run(fps, 2, tile=64) == simhash_dedup.long_run(fps, 2)).all()
-    a, b = simhash_dedup.linked(np.zeros(len(fps), np.int64), fps, 2)
-    assert len(b) == len(fps) - len(set(simhash_dedup.long_run(fps, 2).tolist())) and (a < b).all()
-
+    assert (cells.long_run(fps, 2, tile=64) == cells.long_run(fps, 2)).all()
+    a, b = cells.linked(np.zeros(len(fps), np.int64), fps, 2)
+    assert len(b) == len(fps) - len(set(cells.long_run(fps, 2).tolist())) and (a < b).all()
 
-# 1
 
-
-def scalar_dedup(docs, radius=3, similarity=0.8):
-    seen, occurrences = {}, {}
-    for d in docs:
-        seen.setdefault((d[0], d[1]), d)
-    for (doc_id, text), _ in seen.items():
-        for n, line in enumerate(line_dedup.normal_lines(text) if text is not None else []):
-            if line:
-                key = line if line.count(" ") >= 4 else (doc_id, text, line)
-                occurrences.setdefault(key, []).append((doc_id is not None, doc_id or 0, line_key(doc_id, text), n))
-    keys = sorted(occurrences, key=repr)
-    long = [i for i, k in enumerate(keys) if isinstance(k, str)]
-    sims = {i: int(line_dedup.line_table([keys[i]])[3][0]) for i in long}
-    pairs = [(i, j) for i in long for j in long if j < i and (sims[i] ^ sims[j]).bit_count() <= radius and line_dedup.alike(keys[i], keys[j], similarity)]
-    groups = {}
-    for i, r in enumerate(union(len(keys), pairs)):
-        groups.setdefault(r, []).extend(occurrences[keys[i]])
-    gone = {}
-    for members in groups.values():
-        for _, _, doc, n in sorted(members)[1:]:
-            gone.setdefault(doc, set()).add(n)
-    return {k: None if k[1] is None else "\n".join(x for n, x in enumerate(k[1].split("\n")) if n not in gone.get(line_key(*k), ())) for k in seen}
-
-
-HASHES = {}
-
-
-def line_key(doc_id, text):
-    return HASHES[doc_id, text]
-
-
-@pytest.mark.parametrize("blocks", [4, 5, 6])
-def test_line_dedup(spark, frame, docs, blocks, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BLOCKS", ((None, blocks),))
-    rng = random.Random(3)
-    line = [f"word{rng.randrange(900)}" for _ in range(90)]
-    extra = [(300 + i, "\n".join([" ".join(line[:i] + [f"other{i}"] + line[i + 1 :]), "short one", "short one", f"own line number {i} of this text", "", "--", " ".join(reversed(line)) if i % 2 else ""]), "en", "a", 1) for i in range(12)]
-    rows = spark.createDataFrame(docs + extra, SCHEMA).withColumn("line", F.lit(1)).withColumn("lines", F.lit(2))
-    keyed = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).collect()
-    HASHES.update({(r["doc_id"], r["text"]): r["h"] for r in keyed})
-    want = scalar_dedup(docs + extra)
-    got = line_dedup.dedup_lines(rows).collect()
-    assert len(got) == len(docs + extra)
-    assert sorted(repr((r["doc_id"], r["text"])) for r in got) == sorted(repr((d[0], want[d[0], d[1]])) for d in docs + extra)
-    by = {r["doc_id"]: r for r in got}
-    assert by[200]["text"] is None and by[201]["text"] == "" and by[202]["text"] == " \t\n "
-    assert by[301]["text"].count("short one") == 1 and by[301]["line"] == 1
-    assert line_dedup.dedup_lines(empty(rows)).count() == 0
-
-
-def test_failed_candidates_do_not_join_or_part(spark, monkeypatch):
-    """A reordered line meets in SimHash but not in edit distance; the others must still be joined."""
-    rng = random.Random(5)
-    words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
-    texts = [" ".join(words), " ".join(reversed(words)), " ".join([*words[:59], "x"]), " ".join([*reversed(words[1:]), "x"])]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    monkeypatch.setattr(line_dedup, "RADIUS", 16)
-    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(rows, radius=3).collect()}
-    HASHES.update({(r["doc_id"], r["text"]): r["h"] for r in rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).collect()})
-    want = scalar_dedup([(i, t) for i, t in enumerate(texts)])
-    assert got == {i: want[i, t] for i, t in enumerate(texts)}
-    assert got[0] and got[1]
+# 1: see test_lines.py
 
 
 def test_edit_distance():
@@ -215,15 +168,15 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b, most) == min(plain(a, b), most + 1)
 
 
-def test_line_hashes_do_not_depend_on_pieces(monkeypatch):
-    texts = ["The quick, brown fox\n\njumps  over " + "the " * 700 + "dog", "x" * 300, "the QUICK brown fox"]
-    whole = line_dedup.line_table(texts)
-    monkeypatch.setattr(line_dedup, "PIECE", 32)
-    line_dedup.powers.cache_clear()
-    parts = [line_dedup.line_table([t]) for t in texts]
-    line_dedup.powers.cache_clear()
-    assert whole[2][0] == whole[2][-1] and whole[3][0] == whole[3][-1]
-    assert np.concatenate([p[3] for p in parts])[[0, 1, 3]].tolist() == whole[3][[0, 1, 3]].tolist()
+def test_many_edit_distances_at_once():
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("abcé ") for _ in range(rng.choice([1, 5, 63, 64, 65, 130, 200]))) for _ in range(200)]
+    texts += [t[: len(t) // 2] + "q" + t[len(t) // 2 + 1 :] for t in texts]
+    a, b = (np.array([rng.randrange(len(texts)) for _ in range(1500)]) for _ in range(2))
+    a, b = np.append(a, np.arange(200)), np.append(b, np.arange(200, 400))
+    codes, sizes, letters = line_dedup.coded(texts)
+    got = line_dedup.edit_distances(codes, sizes, letters, a, b)
+    assert got.tolist() == [line_dedup.edit_distance(texts[i], texts[j], 10**6) for i, j in zip(a, b, strict=True)]
 
 
 # 2
@@ -257,11 +210,17 @@ def test_language_scores_do_not_depend_on_pieces(monkeypatch):
 def test_nearest(spark, small):
     table = spark.read.parquet(f"{small}/embeddings.parquet")
     own = [(r["vec_id"], list(map(float, r["embedding"]))) for r in table.collect()]
-    bad = [(10_000, None), (10_020, [0.0] * 64), (10_040, [1.0] * 63 + [None]), (10_060, [float("nan")] * 64), (10_080, [1.0] * 3)]
+    bad = [(10_000, None), (10_020, [0.0] * 64), (10_040, [1.0] * 63 + [None]), (10_060, [float("nan")] * 64)]
+    short = [(50_000, [1.0] * 3), (50_001, [1.0, 2.0, 3.0])]
     copies = [(20_000 + i, own[0][1]) for i in range(40)]
     scaled = [(30_000 + i, [2.5 * x for x in own[i][1]]) for i in range(5)]
     rows = own + copies + scaled
-    df = spark.createDataFrame(rows + bad + rows[:3], "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
+    df = spark.createDataFrame(rows + bad + short, "vec_id long, embedding array<float>").withColumns({c: F.lit("x") for c in ("score", "row", "query", "d", "block")})
+    of_short = [tuple(r) for r in collision_ann.nearest(df.where("vec_id >= 50000"), F.col("vec_id") % 20 == 0).collect()]
+    assert of_short == [(50_000, 1, 50_001, 6.0)]
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (0, [2.0, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in collision_ann.nearest(twice, F.col("vec_id") % 20 == 0).collect()) == [(0, 1, 0, 2.0), (0, 1, 3, 3.0), (0, 2, 0, 2.0), (0, 2, 3, 1.0)]
+    df = df.where("vec_id < 50000")
     got = {}
     for r in collision_ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
@@ -311,9 +270,9 @@ def test_bpe_memory_limits(library, monkeypatch):
 
 
 def test_bpe_columns(frame, docs):
-    got = bpe.decode(bpe.encode(frame)).select("doc_id", "text", "decoded", "ids", "shard").collect()
+    got = bpe.decode(bpe.encode(frame)).select("doc_id", "text", "decoded", "ids", "p").collect()
     assert len(got) == len(docs)
-    assert all(bytes(r["decoded"]).decode() == (r["text"] or "") and r["shard"] == 7 for r in got)
+    assert all(bytes(r["decoded"]).decode() == (r["text"] or "") and r["p"] == 7 for r in got)
     assert bpe.encode(empty(frame)).count() == 0
 
 
@@ -332,8 +291,9 @@ def test_hilbert_curve_is_one_path(spark):
 
 def test_shards(frame, docs):
     dims = ["source", "lang", "n_chars"]
-    df = frame.drop("shard").withColumn("mark", F.crc32("text"))
+    df = frame.withColumn("mark", F.crc32("text"))
     got = hilbert_shards.shards(df, dims, ["mark", "doc_id"])
+    assert got.columns == [*df.columns, "curve", "shard", "slot"] and got.where("rank = 7 and p = 7 and o = 7").count() == len(docs)
     rows = got.collect()
     counts = {}
     for r in rows:
@@ -387,6 +347,16 @@ def test_mixing(frame, docs):
     assert mixing.plan(empty(frame)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 7, 60])
+def test_targets_of_many_sources(spark, n):
+    """Sizes over many orders, so that caps bind one after another; few jobs whatever their number."""
+    rng = random.Random(n)
+    sizes = {f"s{i:03}": int(1.7**i) % 10**9 + rng.randrange(3) for i in range(n)}
+    got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()}
+    want = scalar_targets(sizes)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], rel=1e-9) for s in want)
+
+
 def test_mixing_salted_join_is_the_same(frame, monkeypatch):
     own = sorted(repr((r["doc_id"], r["text"], r["mix_copies"])) for r in mixing.plan(frame).collect())
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
@@ -464,28 +434,79 @@ def test_chat_oracle(spark, small):
 # 9
 
 
-def scalar_syncmers(text):
+def scalar_syncmers(text, k, s):
     codes = np.array([ord(c) for c in text], np.uint64)
     h = syncmers.mix(codes + np.uint64(1)).tolist()
     m = (1 << 64) - 1
     roll = lambda v: sum(x * pow(syncmers.BASE, len(v) - 1 - i, 1 << 64) for i, x in enumerate(v)) & m
     one = lambda x: int(syncmers.mix(np.array([x], np.uint64))[0])
     out = []
-    for i in range(len(text) - syncmers.K + 1):
-        s = [one(roll(h[i + j : i + j + syncmers.S])) for j in range(syncmers.K - syncmers.S + 1)]
-        if min(s) in (s[0], s[-1]):
-            out.append((i, one(roll(h[i : i + syncmers.K]))))
+    for i in range(len(text) - k + 1):
+        own = [one(roll(h[i + j : i + j + s])) for j in range(k - s + 1)]
+        if min(own) in (own[0], own[-1]):
+            out.append((i, one(roll(h[i : i + k]))))
     return out
 
 
-def test_syncmers_equal_scalar(monkeypatch):
+def scalar_part(text, kind):
+    k, s, kept = kind
+    first = {}
+    for pos, h in scalar_syncmers(text, k, s):
+        first.setdefault(h >> 32, pos)
+    return sorted(sorted(first)[:kept], key=first.get)
+
+
+def scalar_fingerprint(text):
+    coarse, fine = scalar_part(text, syncmers.COARSE), scalar_part(text, syncmers.FINE)
+    if text and not fine:
+        fine = [int.from_bytes(hashlib.blake2b(text.encode(), digest_size=4).digest(), "little")]
+    return coarse, fine
+
+
+def scalar_likeness(a, b):
+    pick = 0 if min(len(a[0]), len(b[0])) >= syncmers.ENOUGH else 1
+    x, y = a[pick], b[pick]
+    if not x and not y:
+        return 1.0
+    both = sorted({*x, *y})[: (syncmers.COARSE, syncmers.FINE)[pick][2]]
+    places = [y.index(h) for h in x if h in both and h in y]
+    best = [1] * len(places)
+    for i in range(len(places)):
+        for j in range(i):
+            if places[j] < places[i]:
+                best[i] = max(best[i], best[j] + 1)
+    return max(best, default=0) / len(both)
+
+
+def shown(fp):
+    return ".".join("".join(f"{h:08x}" for h in p) for p in fp) if fp[1] else ""
+
+
+@pytest.mark.parametrize("piece", [1 << 18, 7])
+def test_syncmers_equal_scalar(monkeypatch, piece):
     rng = random.Random(8)
-    texts = ["".join(rng.choice("abcd é\U0001f6b2") for _ in range(n)) for n in (0, 5, 15, 16, 17, 40, 90)] + ["a" * 50]
-    for piece in (1 << 18, 7):
-        monkeypatch.setattr(syncmers, "PIECE", piece)
-        for t in texts:
-            pos, h = syncmers.anchors(t)
-            assert list(zip(pos.tolist(), h.tolist(), strict=True)) == scalar_syncmers(t)
+    texts = ["".join(rng.choice("abcd é\U0001f6b2") for _ in range(n)) for n in (0, 1, 3, 4, 5, 15, 16, 17, 40, 90)] + ["a" * 50, "abcabcabd" * 20]
+    monkeypatch.setattr(syncmers, "PIECE", piece)
+    for t in texts:
+        for kind in (syncmers.COARSE, syncmers.FINE):
+            pos, h = syncmers.anchors(t, kind)
+            assert list(zip(pos.tolist(), h.tolist(), strict=True)) == scalar_syncmers(t, *kind[:2])
+        fp = syncmers.fingerprint(t)
+        assert [p.tolist() for p in fp] == list(map(list, scalar_fingerprint(t))) and syncmers.as_hex(fp) == shown(scalar_fingerprint(t))
+
+
+def test_likeness_goes_by_order():
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    text, turned = " ".join(words), " ".join(words[30:] + words[:30])
+    own, other = syncmers.fingerprint(text), syncmers.fingerprint(turned)
+    assert syncmers.likeness(own, own) == 1.0 and 0.3 < syncmers.likeness(own, other) < 0.75
+    errors = []
+    for n in range(20, 60, 4):
+        new = " ".join([*words[:n], *reversed(words)])
+        errors.append(syncmers.likeness(own, syncmers.fingerprint(new)) - syncmers.exact_likeness(text, new))
+    assert max(map(abs, errors)) < 0.25 and abs(sum(errors) / len(errors)) < 0.1
+    assert 0.1 < syncmers.likeness(syncmers.fingerprint("a short text"), syncmers.fingerprint("a short one!")) < 1
 
 
 def test_edited_likeness(frame, docs):
@@ -496,8 +517,16 @@ def test_edited_likeness(frame, docs):
         text, half = d[1] or "", len(d[1] or "") // 2
         want.append((repr(d[0]), len(text), hashlib.sha256((text[: len(text) - half] + (nxt[1] or "")[:half]).encode()).hexdigest()))
     assert got == sorted(want)
-    rows = syncmers.edited_likeness(frame).collect()
-    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
+    found = {(repr(r["doc_id"]), r["edited_sha256"]): r for r in syncmers.edited_likeness(frame).collect()}
+    for d, nxt in zip(order, order[1:] + order[:1], strict=True):
+        text, after = d[1] or "", nxt[1] or ""
+        if len(text) > 2000 or len(after) > 2000:
+            continue
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        r = found[repr(d[0]), hashlib.sha256(edited.encode()).hexdigest()]
+        own, new, end = map(scalar_fingerprint, (text, edited, after))
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (shown(own), shown(new))
+        assert r["near_edited"] == pytest.approx(scalar_likeness(own, new)) and r["near_next"] == pytest.approx(scalar_likeness(own, end))
     assert syncmers.edited_likeness(empty(frame)).count() == 0
     one = syncmers.edited_likeness(frame.where("doc_id = 20")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
@@ -508,32 +537,3 @@ def test_edited_likeness(frame, docs):
 def test_held_out(spark):
     got = spark.range(50).where(held_out("id")).collect()
     assert [r["id"] for r in got] == [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 0]
-
-
-def test_lines_of_the_required_similarity_meet(spark):
-    """Against edit similarity alone, whatever the SimHashes are: one or two words of a line replaced."""
-    rng = random.Random(11)
-    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
-    lines, want = [], 0
-    for _ in range(150):
-        own = [word() for _ in range(rng.randrange(10, 40))]
-        new = list(own)
-        for i in rng.sample(range(len(own)), rng.choice([1, 2])):
-            new[i] = word()
-        lines += [" ".join(own), " ".join(new)]
-        want += line_dedup.alike(lines[-2], lines[-1], 0.8)
-    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    dropped = lambda **kind: sum(r["lines_dropped"] for r in line_dedup.dedup_lines(rows, **kind).collect())
-    assert want > 120 and 0.97 * want <= dropped(grams=True) <= want
-    assert dropped() < 0.5 * want
-
-
-def test_short_and_unspaced_lines_over_all_documents(spark):
-    """A short line stays once in all; a long line without spaces also meets near copies of itself."""
-    rng = random.Random(4)
-    signs = [chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(300)]
-    changed = "".join([*signs[:100], "\u3042\u3044", *signs[102:]])
-    texts = ["read more\n" + "".join(signs), "".join(signs), changed + "\nRead more!", "read less"]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(rows, grams=True, everywhere=True).collect()}
-    assert got == {0: texts[0], 1: "", 2: "", 3: "read less"}

@@ -26,10 +26,31 @@ def test_stages(spark, small, tmp_path):
 
 
 def test_run(spark, small):
-    assert corpus_pipeline.run(spark, small).count() > 100
+    rows = corpus_pipeline.run(spark, small).collect()
+    assert len(rows) > 100 and all(r["exact"] and len(r["ids"]) == 4 * r["n_tokens"] for r in rows)
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_stages_with_odd_rows(spark):
+    """Nulls, empty texts, repeated ids and rows, a table without rows, more columns."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, p long, rank long, node long"
+    plain = "the of and to in is that it was for on with as his they at be this from have"
+    rows = [(i, f"{plain} {i}", "en" if i % 2 else None, "a" if i % 3 else None, 5, 1, 1, 1) for i in range(40)]
+    rows += [(50, None, None, None, None, 1, 1, 1), (51, "", "en", "a", 0, 1, 1, 1), (1, "another text of one id, with other words", "en", "a", 5, 1, 1, 1), rows[3], (None, "no id stands here at all", "en", "b", 5, 1, 1, 1)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("doc_id < -1"), "").count() == 0, name
+        out = stage(spark, docs, "").collect()
+        if name == "line_dedup":
+            assert len(out) == len(rows) and {r["doc_id"] for r in out if r["text"] is None} == {50}
+        if name == "near_dedup":
+            texts = {r["text"] for r in out}
+            assert "another text of one id, with other words" in texts and "no id stands here at all" in texts
+            assert len(out) == len({(r["doc_id"], r["text"]) for r in out}) and len(texts & {None, ""}) == 1
+        if name == "bpe":
+            assert len(out) == len(rows) and all(r["exact"] for r in out)
+
+
 def test_near_documents_by_five_word_shingles(spark):
     """Against Jaccard similarity alone."""
     rng = random.Random(2)
