@@ -8,7 +8,7 @@ pair of chunks is a cell of its own, so that no task holds more and every pair s
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,11 +110,16 @@ def near_pairs(fps: np.ndarray, x: slice, y: slice, radius: int, label: np.ndarr
     return i + x.start, j + y.start
 
 
-def connect(fps: np.ndarray, radius: int, label: np.ndarray, alike: Fit, tile: int = 1024, some: int = 32, most: int = 4096) -> list[tuple[int, int]]:
+#: Asks which pairs of rows are alike, is sent the answers, and returns links.
+Walk = Generator[tuple[np.ndarray, np.ndarray], np.ndarray, list[tuple[int, int]]]
+
+
+def connecting(fps: np.ndarray, radius: int, label: np.ndarray, start: int = 0, tile: int = 1024, some: int = 32, most: int = 4096) -> Walk:
     """Links between the rows of one cell that connect all labels that any pair within the radius that is alike connects.
 
-    alike(i, j) is dear: nearest pairs come first, and pairs that are connected by then are not
-    compared. Pairs are taken in batches that grow, so that little is compared in vain.
+    Whether pairs are alike is dear: nearest pairs come first, and pairs that are connected by then
+    are not asked for. Pairs are taken in batches that grow, so that little is compared in vain.
+    start: the number of the first row.
     """
     label, links = np.unique(label, return_inverse=True)[1], []
     for top in range(0, len(fps), tile):
@@ -127,15 +132,34 @@ def connect(fps: np.ndarray, radius: int, label: np.ndarray, alike: Fit, tile: i
                 at += size
                 rest = label[x] != label[y]
                 x, y = x[rest], y[rest]
-                found = np.flatnonzero(alike(x, y)) if len(x) else x
+                found = np.flatnonzero((yield x + start, y + start)) if len(x) else x
                 for p, q in zip(x[found].tolist(), y[found].tolist(), strict=True):
                     if label[p] != label[q]:
-                        links.append((p, q))
+                        links.append((p + start, q + start))
                         label[label == label[q]] = label[p]
                 size = some if len(found) else min(2 * size, most)
     return links
 
 
+def together(walks: list[Walk], alike: Fit) -> list[tuple[int, int]]:
+    """The links of all walks, which go side by side, so that alike gets the pairs of all of them at once."""
+    links: list[tuple[int, int]] = []
+    answers: list[np.ndarray | None] = [None] * len(walks)
+    while walks:
+        live, asked = [], []
+        for walk, answer in zip(walks, answers, strict=True):
+            try:
+                asked.append(walk.send(answer))
+                live.append(walk)
+            except StopIteration as end:
+                links += end.value
+        walks = live
+        if walks:
+            found = alike(*(np.concatenate(x) for x in zip(*asked, strict=True)))
+            answers = np.split(found, np.cumsum([len(x) for x, _ in asked])[:-1])
+    return links
+
+
 def forest(keys: np.ndarray, fps: np.ndarray, node: np.ndarray, radius: np.ndarray | int, fit: Fit = all_fit) -> tuple[np.ndarray, np.ndarray]:
     """linked(), as nodes."""
     i, j = linked(keys, fps, radius, fit)

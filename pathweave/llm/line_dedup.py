@@ -31,20 +31,22 @@ columns of these names).
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .cells import connect, forest, meet, parted
-from .common import bind, bounded, components, cut, forget, fresh, released, setting, slices
+from .cells import connecting, forest, meet, parted, together
+from .common import TEXT_BYTES, bind, bounded, components, cut, forget, fresh, released, setting, slices
 
 RADIUS, MIN_WORDS, MIN_CHARS, MAX_WORD, SIMILARITY = 3, 5, 40, 16, 0.8
 #: Blocks of a fingerprint by the number of distinct lines that they suffice for.
@@ -57,8 +59,11 @@ SHARED, SHARED_BITS = 0.75, 2048
 BASE = 0x9E3779B97F4A7C15
 #: Odd factors of the MinHashes.
 FACTORS = [pow(BASE, 2 * k + 3, 1 << 64) for k in range(16)]
-#: Bytes hashed at once; documents or lines in an Arrow batch; lines of a cell whose texts a task holds.
-PIECE, BATCH, PARTS = 1 << 16, 1000, 8192
+#: Bytes hashed at once; documents or lines in an Arrow batch; lines of a cell whose texts a task holds;
+#: lines whose cells are compared at once.
+PIECE, BATCH, PARTS, ABREAST = 1 << 16, 1000, 8192, 4096
+#: Bytes of tables in which many pairs' edit distances are computed at once.
+TABLES = 32 << 20
 #: A space for each ASCII byte but letters, digits and the line feed.
 SIGNS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 #: A byte's eight bits, one in each byte of a word.
@@ -286,26 +291,30 @@ def parts_in_cell(similarity: float, radius: int):
 
 
 def joined_parts(similarity: float, radius: int):
-    """For mapInArrow over (cell, sim, node, label, raw) sorted by cell: links (a, b) of lines that are alike, which connect the parts."""
+    """For mapInArrow over (cell, sim, node, label, raw) sorted by cell: links (a, b) of lines that are alike, which connect the parts.
+
+    Small cells are compared side by side.
+    """
 
     def of(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        cell = rows[0].column("cell")[0].as_py()
-        fps, node, label = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("sim", "node", "label"))
-        same = Alike(Lines([t for r in rows for t in r.column("raw").to_pylist()]), similarity)
-        links = connect(fps.view(np.uint64), GRAM_RADIUS if cell < 0 else radius, label, same)
+        cell, fps, node, label = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("cell", "sim", "node", "label"))
+        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))).tolist()
+        reached = reach(cell, radius)
+        walks = [connecting(fps[s:e].view(np.uint64), reached[s], label[s:e], s) for s, e in zip(starts, [*starts[1:], len(cell)], strict=True)]
+        links = together(walks, Alike(Lines([t for r in rows for t in r.column("raw").to_pylist()]), similarity))
         return pa.RecordBatch.from_arrays([pa.array(node[[x[k] for x in links]]) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
+        held, lines, size, now = [], 0, 0, None
         for batch in batches:
             cell = batch.column("cell").to_numpy()
             starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else []
             for s, e in zip(starts, [*starts[1:], len(cell)], strict=True):
-                if held and cell[s] != now:
+                if held and cell[s] != now and (lines >= ABREAST or size >= TEXT_BYTES):
                     yield of(held)
-                    held = []
+                    held, lines, size = [], 0, 0
                 held.append(batch.slice(s, e - s))
-                now = cell[s]
+                lines, size, now = lines + e - s, size + pc.sum(pc.binary_length(held[-1].column("raw"))).as_py(), cell[s]
         if held:
             yield of(held)
 
@@ -361,7 +370,7 @@ def edit_distance(a, b, most: int) -> int:
 def alike(a: str, b: str, similarity: float) -> bool:
     """1 - edit distance / longer length >= similarity.
 
-    Upper bounds come first: the length of what differs, then words replaced whole.
+    Upper bounds come first: the length of what differs, then words replaced whole, the longest ones.
     """
     most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
     if abs(len(a) - len(b)) > most:
@@ -370,8 +379,8 @@ def alike(a: str, b: str, similarity: float) -> bool:
     if max(len(x), len(y)) <= most:
         return True
     x, y = a.split(" "), b.split(" ")
-    longest = max(map(len, x + y)) + 1
-    if longest <= most and edit_distance(x, y, most // longest) * longest <= most:
+    replaced = bisect_right(list(accumulate(sorted((len(w) + 1 for w in x + y), reverse=True))), most)
+    if replaced and edit_distance(x, y, replaced) <= replaced:
         return True
     return edit_distance(a, b, most) <= most
 
@@ -386,36 +395,67 @@ def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
     return out, sizes, len(known)
 
 
-def edit_distances(codes: np.ndarray, sizes: np.ndarray, letters: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The edit distances of rows a and b of coded texts that are not empty, all pairs at once.
+def untrimmed(codes: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The longer length of rows a and b of coded texts without their common beginning and end."""
+    wide = codes.shape[1]
+    back = np.take_along_axis(codes, np.maximum(sizes[:, None] - 1 - np.arange(wide), 0), axis=1)
+    least = np.minimum(sizes[a], sizes[b])
+    same = []
+    for rows in (codes, back):
+        differs = rows[a] != rows[b]
+        differs |= np.arange(wide) >= least[:, None]
+        same.append(np.where(least < wide, differs.argmax(axis=1), np.where(differs.any(axis=1), differs.argmax(axis=1), wide)))
+    return np.maximum(sizes[a], sizes[b]) - np.minimum(same[0] + same[1], least)
+
+
+def edit_distances(codes: np.ndarray, sizes: np.ndarray, letters: int, a: np.ndarray, b: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
+    """The edit distances of rows a and b of coded texts that are not empty, all pairs at once; those over `most` as most + 1.
 
     Bit-parallel by words of 64 characters of a: a column of the table is two bits a character, and
-    what a word hands on to the next is a step up, down or neither.
+    what a word hands on to the next is a step up, down or neither. Every 64 columns the pairs whose
+    cell on the last diagonal, along which values only grow, is over `most` are left out.
     """
-    words, one, n = -(-int(sizes[a].max()) // 64), np.uint64(1), len(a)
+    words, one = -(-int(sizes[a].max()) // 64), np.uint64(1)
+    most = np.maximum(sizes[a], sizes[b]) if most is None else most
     rows, at = np.unique(a, return_inverse=True)
-    there = np.zeros((len(rows), letters, words), np.uint64)  # where a character stands in a row
+    there = np.zeros((words, len(rows) * letters), np.uint64)  # where a character stands in a row
     for i in range(int(sizes[rows].max())):
         own = np.flatnonzero(sizes[rows] > i)
-        there[own, codes[rows[own], i], i // 64] |= one << np.uint64(i % 64)
-    up, down = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), np.uint64)
-    score, last, bit = sizes[a].copy(), (sizes[a] - 1) // 64, ((sizes[a] - 1) % 64).astype(np.uint64)
-    ends = [np.flatnonzero(last == w) for w in range(words)]
-    for j in range(int(sizes[b].max())):
-        letter, live = codes[b, j], sizes[b] > j
-        more, less = np.ones(n, np.uint64), np.zeros(n, np.uint64)
+        there[i // 64, own * letters + codes[rows[own], i]] |= one << np.uint64(i % 64)
+    out, pair, at, text = most + 1, np.arange(len(a)), at * letters, np.ascontiguousarray(codes[b].T)
+    m, n, up, down = sizes[a], sizes[b], np.full((words, len(a)), ~np.uint64(0)), np.zeros((words, len(a)), np.uint64)
+
+    def value(which: np.ndarray, row: np.ndarray, column: int) -> np.ndarray:
+        """The table's cells in these rows of a column."""
+        bits = np.clip(row - 64 * np.arange(words)[:, None], 0, 64).astype(np.uint64)
+        low = np.where(bits == 64, ~np.uint64(0), (one << (bits & np.uint64(63))) - one)
+        more, less = (np.bitwise_count(x[:, which] & low).sum(axis=0, dtype=np.int64) for x in (up, down))
+        return column + more - less
+
+    for j in range(int(n.max())):
+        if j and j % 64 == 0:
+            live = np.flatnonzero((n > j) & (value(np.arange(len(m)), np.maximum(m - n + j, 0), j) <= most[pair]))
+            if not len(live):
+                break
+            if len(live) < 0.9 * len(m):
+                pair, at, m, n, text, up, down = pair[live], at[live], m[live], n[live], text[:, live], up[:, live], down[:, live]
+        where = at + text[j]
+        more, less = np.ones(len(m), np.uint64), np.zeros(len(m), np.uint64)
         for w in range(words):
-            same = there[at, letter, w]
+            same = there[w].take(where)
             side = same | down[w]
             same |= less
             across = (((same & up[w]) + up[w]) ^ up[w]) | same
             rise, fall = down[w] | ~(across | up[w]), up[w] & across
-            if len(own := ends[w]):
-                step = (rise[own] >> bit[own] & one).astype(np.int64) - (fall[own] >> bit[own] & one).astype(np.int64)
-                score[own] += step * live[own]
-            rise, fall, more, less = rise << one | more, fall << one | less, rise >> np.uint64(63), fall >> np.uint64(63)
-            up[w], down[w] = fall | ~(side | rise), rise & side
-    return score
+            high, low = rise << one, fall << one
+            high |= more
+            low |= less
+            more, less = rise >> np.uint64(63), fall >> np.uint64(63)
+            up[w], down[w] = low | ~(side | high), high & side
+        done = np.flatnonzero(n == j + 1)
+        if len(done):
+            out[pair[done]] = np.minimum(value(done, m[done], j + 1), most[pair[done]] + 1)
+    return out
 
 
 class Alike:
@@ -424,7 +464,7 @@ class Alike:
     Lines of up to `wide` characters are compared many at once.
     """
 
-    def __init__(self, lines: Lines, similarity: float, wide: int = 512, many: int = 512):
+    def __init__(self, lines: Lines, similarity: float, wide: int = 1024, many: int = 1024):
         self.texts, self.words, self.similarity, self.wide, self.many = [x.decode() for x in lines.bytes], lines.word_bits(), similarity, wide, many
         self.held = np.bitwise_count(self.words).sum(axis=1, dtype=np.int64)
         self.sizes = lines.chars.astype(np.int64)
@@ -449,14 +489,24 @@ class Alike:
             out[k] = alike(self.texts[a[k]], self.texts[b[k]], self.similarity)
         todo = todo[~single]
         todo = todo[np.argsort(longer[todo], kind="stable")]
-        for start in range(0, len(todo), self.many):
+        start = 0
+        while start < len(todo):
             some = todo[start : start + self.many]
             rows, at = np.unique(np.concatenate([a[some], b[some]]), return_inverse=True)
             codes, own, letters = coded([self.texts[r] for r in rows.tolist()])
+            # as many pairs as tables have room for: a bit for each of a line's characters and letters
+            fit = max(16, 8 * TABLES // (letters * (int(own.max()) + 64)))
+            if len(some) > fit:
+                some, at = some[:fit], np.concatenate([at[:fit], at[len(some) : len(some) + fit]])
+            start += len(some)
+            x, y = at[: len(some)], at[len(some) :]
+            out[some] = untrimmed(codes, own, x, y) <= most[some]
+            rest = np.flatnonzero(~out[some])
+            some, x, y = some[rest], x[rest], y[rest]
             if letters > 512 or len(some) < 16:  # scripts of many characters, or few pairs
                 out[some] = [alike(self.texts[a[k]], self.texts[b[k]], self.similarity) for k in some.tolist()]
             else:
-                out[some] = edit_distances(codes, own, letters, at[: len(some)], at[len(some) :]) <= most[some]
+                out[some] = edit_distances(codes, own, letters, x, y, most[some]) <= most[some]
         return out
 
 
