@@ -62,6 +62,8 @@ FACTORS = [pow(BASE, 2 * k + 3, 1 << 64) for k in range(16)]
 #: Bytes hashed at once; documents or lines in an Arrow batch; lines of a cell whose texts a task holds;
 #: lines whose cells are compared at once.
 PIECE, BATCH, PARTS, ABREAST = 1 << 16, 1000, 8192, 4096
+#: Stands for no cell.
+NONE = np.iinfo(np.int64).max
 #: Bytes of tables in which many pairs' edit distances are computed at once.
 TABLES = 32 << 20
 #: A space for each ASCII byte but letters, digits and the line feed.
@@ -290,10 +292,25 @@ def parts_in_cell(similarity: float, radius: int):
     return join
 
 
+def first_common(own: np.ndarray, cell: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows meet first, by the number of the cell, in the cell that they are in.
+
+    own: each row's cells, the rest NONE. Cells under 0 have the larger radius, so a pair near in one of its cells is
+    near in the first. Cells that are dealt to pairs of chunks have new numbers, which no row has: there every pair counts.
+    """
+    out = np.empty(len(i), bool)
+    for s in range(0, len(i), 4096):
+        x, y = i[s : s + 4096], j[s : s + 4096]
+        both = (own[x][:, :, None] == own[y][:, None, :]).any(axis=2) & (own[x] != NONE)
+        least = np.where(both, own[x], NONE).min(axis=1)
+        out[s : s + 4096] = (least == cell[x]) | ~(own[x] == cell[x][:, None]).any(axis=1)
+    return out
+
+
 def joined_parts(similarity: float, radius: int):
-    """For mapInArrow over (cell, sim, node, label, raw) sorted by cell: links (a, b) of lines that are alike, which connect the parts.
+    """For mapInArrow over (cell, sim, node, label, raw, cells) sorted by cell: links (a, b) of lines that are alike, which connect the parts.
 
-    Small cells are compared side by side.
+    Small cells are compared side by side, and lines that meet in several cells in the first of them.
     """
 
     def of(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -301,7 +318,18 @@ def joined_parts(similarity: float, radius: int):
         starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))).tolist()
         reached = reach(cell, radius)
         walks = [connecting(fps[s:e].view(np.uint64), reached[s], label[s:e], s) for s, e in zip(starts, [*starts[1:], len(cell)], strict=True)]
-        links = together(walks, Alike(Lines([t for r in rows for t in r.column("raw").to_pylist()]), similarity))
+        lists = [c for r in rows for c in r.column("cells").to_pylist()]
+        own = np.full((len(lists), max(map(len, lists))), NONE)
+        for k, c in enumerate(lists):
+            own[k, : len(c)] = c
+        same = Alike(Lines([t for r in rows for t in r.column("raw").to_pylist()]), similarity)
+
+        def alike_here(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            out = first_common(own, cell, i, j)
+            out[out] = same(i[out], j[out])
+            return out
+
+        links = together(walks, alike_here)
         return pa.RecordBatch.from_arrays([pa.array(node[[x[k] for x in links]]) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -541,8 +569,10 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
     n = nodes.count()
     blocks = next(b for most, b in BLOCKS if most is None or n <= most)
 
+    own_cells = F.concat(keys(F.col("sim"), blocks, radius), "grams")
+
     def cells(rows: DataFrame, *extra: str) -> DataFrame:
-        return rows.select(F.explode(F.concat(keys(F.col("sim"), blocks, radius), "grams")).alias("cell"), "sim", "node", "chars", *extra)
+        return rows.select(F.explode(own_cells).alias("cell"), "sim", "node", "chars", *extra)
 
     candidates = meet(cells(nodes), candidates_in_cell(similarity, radius))
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
@@ -559,7 +589,7 @@ def similar_lines(docs: DataFrame, nodes: DataFrame, radius: int, similarity: fl
         rest = nodes.join(ends, "node").join(comp, "node", "left").select("node", "sim", "chars", "grams", label)
         rest = cut(rest.join(bad, "label", "left_semi"))
         met = meet(cells(rest, "label"), parts_in_cell(similarity, radius), PARTS, links=False).toDF("cell", "node")
-        dealt = met.join(rest.select("node", "sim", "label"), "node").join(texts, "node").select("cell", "sim", "node", "label", "raw")
+        dealt = met.join(rest.select("node", "sim", "label", own_cells.alias("cells")), "node").join(texts, "node").select("cell", "sim", "node", "label", "raw", "cells")
         with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
             more = cut(dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(joined_parts(similarity, radius), "a long, b long"))
         done += [rest, more]

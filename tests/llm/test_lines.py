@@ -190,3 +190,18 @@ def test_hashes_do_not_depend_on_the_batch():
     assert each(whole) == [c for p in parts for c in each(p)]
     assert whole.row.tolist() == [0, 0, 1, 2] and whole.number.tolist() == [0, 2, 0, 0]
     assert (whole.hashes()[0] == whole.hashes()[3]).all()
+
+
+def test_lines_that_meet_in_several_cells_are_compared_in_the_first():
+    """Cell 0 is a cell like others, and in cells with new numbers every pair counts."""
+    none = line_dedup.NONE
+    own = np.array([[-5, 0, 7], [-5, 0, none], [0, 7, none], [0, 7, 9], [3, none, none]])
+
+    def here(cell, i, j):
+        return line_dedup.first_common(own, np.full(len(own), cell), np.array([i]), np.array([j]))[0]
+
+    for i in range(4):
+        for j in range(i + 1, 4):
+            both = set(own[i]) & set(own[j]) - {none}
+            assert [c for c in both if here(c, i, j)] == [min(both)]
+    assert here(11, 0, 4) and here(11, 2, 3)
