@@ -509,6 +509,21 @@ def test_likeness_goes_by_order():
     assert 0.1 < syncmers.likeness(syncmers.fingerprint("a short text"), syncmers.fingerprint("a short one!")) < 1
 
 
+def test_fingerprints_leave_no_anchor_out():
+    """Long texts: every syncmer is in the fingerprint, and a short passage that two of them share counts."""
+    rng = random.Random(10)
+    own, other = ("".join(rng.choice("abcdefghij ") for _ in range(4000)) for _ in range(2))
+    passage = own[1000:1060]
+    other = other[:3000] + passage + other[3000:]
+    for t in (own, other):
+        for part, kind in zip(syncmers.fingerprint(t), (syncmers.COARSE, syncmers.FINE), strict=True):
+            assert set(part.tolist()) == {h >> 32 for _, h in scalar_syncmers(t, *kind[:2])}
+    both = [{h >> 32 for _, h in scalar_syncmers(t, *syncmers.COARSE[:2])} for t in (own, other)]
+    assert len(both[0] & both[1]) >= 4
+    near = syncmers.likeness(syncmers.fingerprint(own), syncmers.fingerprint(other))
+    assert near == len(both[0] & both[1]) / len(both[0] | both[1]) == pytest.approx(syncmers.exact_likeness(own, other))
+
+
 def test_edited_likeness(frame, docs):
     got = sorted((repr(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in syncmers.edited_likeness(frame).collect())
     order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), d[1] or ""))
