@@ -22,6 +22,7 @@ no rows; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from .common import cut, released, setting
 
 PROJECTIONS, WIDTH, RATIO, FIRST_RADIUS, THRESHOLD, SLACK = 32, 2.0, 1.2, 0.2, 0.66, 0.8
 BLOCK, QUERY_BATCH, BATCH, SEED = 65_536, 64, 4096, 5
+#: The round at which a block's first search begins to look; what is found does not depend on it.
+START = 10
 #: Vectors whose norms differ by more than about this factor are indexed apart.
 NORM_RATIO = 1.25
 
@@ -52,9 +55,12 @@ class Index:
         self.lines = rng.standard_normal((vectors.shape[1], PROJECTIONS))
         self.extra = rng.standard_normal(PROJECTIONS)
         at = (scaled @ self.lines + rest[:, None] * self.extra).T
-        order = np.argsort(at, axis=1).astype(np.int32)
-        self.flat, self.sorted = order.ravel(), np.take_along_axis(at, order, axis=1)
-        self.largest = largest
+        order = np.argsort(at, axis=1)
+        self.sorted = np.take_along_axis(at, order, axis=1)
+        # each vector's place on each array; a difference of places wraps around below 0
+        self.places = np.empty(at.shape, np.uint16 if len(vectors) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.places, order, np.arange(len(vectors), dtype=self.places.dtype)[None], axis=1)
+        self.largest, self.start = largest, START
 
     def windows(self, centres: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
         """Bounds of each query's window on each array."""
@@ -63,44 +69,60 @@ class Index:
         high = np.stack([np.searchsorted(s, c + half, "right") for s, c in zip(self.sorted, centres.T, strict=True)], axis=1)
         return low, high
 
+    def collided(self, low: np.ndarray, high: np.ndarray, need: int) -> np.ndarray:
+        """Which vectors lie in at least `need` of a query's windows."""
+        kind, counts = self.places.dtype.type, np.zeros(len(self.vectors), np.uint8)
+        place, inside = np.empty(len(counts), kind), np.empty(len(counts), bool)
+        for line, first, size in zip(self.places, low.tolist(), (high - low).tolist(), strict=True):
+            np.less(np.subtract(line, kind(first), out=place), kind(size), out=inside)
+            counts += inside.view(np.uint8)
+        return counts >= need
+
     def search(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query the k best of the vectors found, as (rows, inner products)."""
-        n, m = len(self.vectors), PROJECTIONS
+        """For each query the k best of the vectors found, as (rows, inner products).
+
+        A wider radius finds what a narrower one does and more, so the first radius at which a query's
+        search ends is looked for from that at which others' ended. Products are computed for what
+        collides with any of the queries, all at once.
+        """
+        n, need = len(self.vectors), int(np.ceil(THRESHOLD * PROJECTIONS))
         norms = np.sqrt((queries * queries).sum(axis=1))
         centres = (queries / norms[:, None]) @ self.lines
-        counts = np.zeros((len(queries), n), np.uint8)
-        rows = [np.empty(0, np.int64)] * len(queries)
-        scores = [np.empty(0)] * len(queries)
-        done = np.zeros(len(queries), bool)
-        base = np.arange(m) * n
-        need, radius = int(np.ceil(THRESHOLD * m)), FIRST_RADIUS
-        low = high = None
-        while not done.all():
-            new_low, new_high = self.windows(centres, radius)
-            if low is None:
-                low = high = new_low
-            last = radius > 2 * RATIO and bool(((new_high - new_low) == n).all())
-            for q in np.flatnonzero(~done):
-                first = np.concatenate([base + new_low[q], base + high[q]])
-                size = np.concatenate([low[q] - new_low[q], new_high[q] - high[q]])
-                took = size.cumsum()
-                if took[-1]:
-                    own = np.repeat(first - (took - size), size) + np.arange(took[-1])
-                    counts[q] += np.bincount(self.flat[own], minlength=n).astype(np.uint8)
-                # verified candidates carry the top bit
-                found = np.flatnonzero((counts[q] >= need) & (counts[q] < 128))
-                if len(found):
-                    rows[q] = np.concatenate([rows[q], found])
-                    scores[q] = np.concatenate([scores[q], (self.vectors[found] * queries[q]).sum(axis=1)])
-                    counts[q][found] |= 128
-                if len(rows[q]) >= k:
-                    worst = np.partition(scores[q], len(rows[q]) - k)[len(rows[q]) - k]
+        products, known = np.empty((len(queries), n)), np.zeros(n, bool)
+        found: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
+        ends, step = np.full(len(queries), -1), np.zeros(len(queries), np.int64)
+        at = np.full(len(queries), self.start)
+        while (ends < 0).any():
+            t = int(at[ends < 0][0])
+            some = np.flatnonzero((ends < 0) & (at == t))
+            radius = radius_of(t)
+            low, high = self.windows(centres[some], radius)
+            last = radius > 2 * RATIO and bool((high - low == n).all())
+            masks = [self.collided(x, y, need) for x, y in zip(low, high, strict=True)]
+            new = np.flatnonzero(np.logical_or.reduce(masks) & ~known)
+            products[:, new] = queries @ self.vectors[new].T
+            known[new] = True
+            for q, mask in zip(some, masks, strict=True):
+                rows = np.flatnonzero(mask)
+                own, over = products[q, rows], last or len(rows) == n
+                if len(rows) >= k:
+                    worst = np.partition(own, len(rows) - k)[len(rows) - k]
                     gap = np.sqrt(max(0.0, 2 - 2 * worst / (self.largest * norms[q])))
-                    done[q] = gap <= SLACK * radius
-                done[q] |= last or len(rows[q]) == n
-            low, high, radius = new_low, new_high, radius * RATIO
+                    over |= bool(gap <= SLACK * radius)
+                    rows = rows[own >= worst - 1e-9 * self.largest * norms[q]]
+                if over:
+                    found[q] = rows
+                    if t == 0 or step[q] > 0:
+                        ends[q] = t
+                    step[q], at[q] = -1, t - 1
+                else:
+                    if step[q] < 0:
+                        ends[q] = t + 1
+                    step[q], at[q] = 1, t + 1
+        self.start = int(np.median(ends))
         out = []
-        for r, s in zip(rows, scores, strict=True):
+        for q, r in enumerate(found):
+            s = (self.vectors[r] * queries[q]).sum(axis=1)
             if len(r) > k:  # all that tie with the k-th stay
                 kept = s >= np.partition(s, len(s) - k)[len(s) - k]
                 r, s = r[kept], s[kept]
@@ -108,6 +130,12 @@ class Index:
         return out
 
 
+@lru_cache
+def radius_of(t: int) -> float:
+    """The radius of round t."""
+    return FIRST_RADIUS if t == 0 else radius_of(t - 1) * RATIO
+
+
 class Block:
     """A block's candidates, equal vectors as one, with indexes of those of similar norm.
 

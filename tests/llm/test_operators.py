@@ -434,6 +434,31 @@ def test_chat_oracle(spark, small):
 # 9
 
 
+def test_search_looks_at_few_radii(monkeypatch):
+    """Vectors found are those that collide by the first radius that ends the search, whichever radius it begins at."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 64))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    index = collision_ann.Index(x, 1.0)
+    looked, real = [], index.windows
+    monkeypatch.setattr(index, "windows", lambda *a: looked.append(a) or real(*a))
+    index.search(x[:64], 20)
+    looked.clear()
+    got = index.search(x[64:128], 20)
+    assert len(looked) <= 6
+    at = x @ index.lines + np.sqrt(np.clip(1 - (x * x).sum(axis=1), 0, None))[:, None] * index.extra
+    for q, (rows, scores) in zip(x[64:128], got, strict=True):
+        radius = collision_ann.FIRST_RADIUS
+        apart = np.sort(np.abs(at - (q / np.sqrt(q @ q)) @ index.lines), axis=1)[:, int(np.ceil(collision_ann.THRESHOLD * collision_ann.PROJECTIONS)) - 1]
+        while True:
+            found = np.flatnonzero(apart <= collision_ann.WIDTH * radius / 2)
+            best = np.sort(x[found] @ q)[::-1][:20]
+            if len(best) == 20 and np.sqrt(2 - 2 * best[-1]) <= collision_ann.SLACK * radius:
+                break
+            radius *= collision_ann.RATIO
+        assert np.allclose(np.sort(scores)[::-1], best, atol=1e-12) and set(rows) <= set(found)
+
+
 def scalar_syncmers(text, k, s):
     codes = np.array([ord(c) for c in text], np.uint64)
     h = syncmers.mix(codes + np.uint64(1)).tolist()
