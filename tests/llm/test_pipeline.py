@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from pathweave.llm import bpe
+from pathweave.llm import bpe, jaccard_dedup
 
 
 def test_stages(spark, small, tmp_path):
@@ -67,3 +67,24 @@ def test_near_documents_by_five_word_shingles(spark):
     sets = [set(zip(*[(t or "").split()[k:] for k in range(5)])) for t in texts]
     like = {i for i in range(1, 120, 2) if len(sets[i] & sets[i - 1]) >= 0.8 * len(sets[i] | sets[i - 1])}
     assert 20 < len(like) < 60 and kept == set(range(121)) - like
+
+
+def test_near_documents_meet_by_simhash_cells(spark, monkeypatch):
+    """Without cells of MinHashes, what lies within operator 10's radius still meets in its grid and is verified."""
+    rng = random.Random(3)
+    texts = []
+    for _ in range(40):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        texts += [" ".join(own), " ".join([*own[:-1], "x"])]
+    rows = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    real = jaccard_dedup.meet
+    monkeypatch.setattr(jaccard_dedup, "meet", lambda rows, *rest, **named: real(rows.where("cell between 0 and 8589934591"), *rest, **named))
+    kept = {r["doc_id"] for r in corpus_pipeline.unique_documents(spark, rows, "").collect()}
+    sim = [simhash_of(t) for t in texts]
+    near = {i for i in range(1, 80, 2) if (sim[i] ^ sim[i - 1]).bit_count() <= 4}
+    assert len(near) > 20 and kept == set(range(80)) - near
+
+
+def simhash_of(text):
+    _, h = jaccard_dedup.shingles(text)
+    return sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h) > len(h))
