@@ -114,7 +114,7 @@ def near_pairs(fps: np.ndarray, x: slice, y: slice, radius: int, label: np.ndarr
 Walk = Generator[tuple[np.ndarray, np.ndarray], np.ndarray, list[tuple[int, int]]]
 
 
-def connecting(fps: np.ndarray, radius: int, label: np.ndarray, start: int = 0, tile: int = 1024, some: int = 32, most: int = 4096) -> Walk:
+def connecting(fps: np.ndarray, radius: int, label: np.ndarray, start: int = 0, tile: int = 1024, some: int = 1024, most: int = 8192) -> Walk:
     """Links between the rows of one cell that connect all labels that any pair within the radius that is alike connects.
 
     Whether pairs are alike is dear: nearest pairs come first, and pairs that are connected by then

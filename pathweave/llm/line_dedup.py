@@ -61,7 +61,9 @@ BASE = 0x9E3779B97F4A7C15
 FACTORS = [pow(BASE, 2 * k + 3, 1 << 64) for k in range(16)]
 #: Bytes hashed at once; documents or lines in an Arrow batch; lines of a cell whose texts a task holds;
 #: lines whose cells are compared at once.
-PIECE, BATCH, PARTS, ABREAST = 1 << 16, 1000, 8192, 4096
+PIECE, BATCH, PARTS, ABREAST = 1 << 16, 1000, 8192, 32768
+#: Bytes of lines whose n-grams are hashed at once.
+SPAN = 1 << 15
 #: Stands for no cell.
 NONE = np.iinfo(np.int64).max
 #: Bytes of tables in which many pairs' edit distances are computed at once.
@@ -72,11 +74,6 @@ SIGNS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-def normal_lines(text: str) -> list[bytes]:
-    """A text's lines: lower case, words between single spaces."""
-    return [b" ".join(line.split()) for line in text.lower().encode().translate(SIGNS).split(b"\n")]
-
-
 @lru_cache(maxsize=1)
 def powers(n: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
     """BASE ** i and its inverse, modulo 2 ** 64, for i < n."""
@@ -89,9 +86,12 @@ def powers(n: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
 
 
 def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(31))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -149,21 +149,31 @@ class Lines:
     """The lines with a word of some texts: each one's text, number in it, bytes and numbers of words and characters."""
 
     def __init__(self, texts: list[str]):
-        own = [normal_lines(t) for t in texts]
-        rows = [(r, n, line) for r, lines in enumerate(own) for n, line in enumerate(lines) if line]
-        self.row = np.array([x[0] for x in rows], np.int64)
-        self.number = np.array([x[1] for x in rows], np.int32)
-        self.bytes = [x[2] for x in rows]
-        joined = b"\n".join(self.bytes) + b"\n"
-        self.data = np.frombuffer(joined + bytes(24), np.uint8)[: len(joined)]  # windows may read beyond the end
-        gaps = np.flatnonzero((self.data == 32) | (self.data == 10)) if rows else np.empty(0, np.int64)
-        self.word_ends, self.word_starts = gaps, np.concatenate(([0], gaps[:-1] + 1)) if rows else gaps
-        self.ends = gaps[self.data[gaps] == 10]
-        self.starts = np.concatenate(([0], self.ends[:-1] + 1)) if rows else gaps
-        self.first = np.searchsorted(self.word_starts, self.starts)
-        self.words = np.diff(np.append(self.first, len(gaps)))
+        raw = np.frombuffer("\n".join([*texts, ""]).lower().encode().translate(SIGNS), np.uint8)
+        gap = np.concatenate(([True], raw <= 32))  # one place on
+        word_starts, word_ends = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+        breaks = np.flatnonzero(raw == 10)
+        line = np.searchsorted(breaks, word_starts)
+        last = np.append(line[1:] != line[:-1], True) if len(line) else np.empty(0, bool)
+        # words stay, and after each the first byte of the gap, which becomes a space or a line feed
+        kept = ~gap[1:]
+        kept[word_ends] = True
+        sizes = word_ends - word_starts
+        self.word_ends = np.cumsum(sizes + 1) - 1
+        self.word_starts = self.word_ends - sizes
+        data = np.concatenate((raw[kept], np.zeros(24, np.uint8)))  # windows may read beyond the end
+        data[self.word_ends] = np.where(last, 10, 32)
+        self.data, joined = data[: len(data) - 24], data.tobytes()
+        self.ends = self.word_ends[last]
+        self.first = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1)) if len(self.ends) else np.empty(0, np.int64)
+        self.starts = self.word_starts[self.first]
+        self.words = np.diff(np.append(self.first, len(sizes)))
+        self.bytes = [joined[x:y] for x, y in zip(self.starts.tolist(), self.ends.tolist(), strict=True)]
+        heads = np.cumsum([0, *[t.count("\n") + 1 for t in texts]])  # each text's first line
+        self.row = np.searchsorted(heads, line[self.first], "right") - 1
+        self.number = (line[self.first] - heads[self.row]).astype(np.int32)
         heads = (self.data & 0xC0 != 0x80).astype(np.int32)  # bytes that begin a character
-        self.chars = np.add.reduceat(heads, self.starts) - 1 if rows else self.words
+        self.chars = np.add.reduceat(heads, self.starts) - 1 if len(self.ends) else self.words
 
     def hashes(self) -> np.ndarray:
         """Two longs for each line."""
@@ -199,15 +209,23 @@ class Lines:
 
         Each is a MinHash of the line's n-grams: two lines share it as often as their n-grams are the same.
         """
-        sizes = (self.ends - self.starts)[which] - width + 1
-        first = np.cumsum(sizes) - sizes
-        at = np.arange(sizes.sum()) + np.repeat(self.starts[which] - first, sizes)
-        window = np.ndarray((len(self.data),), "<u8", buffer=self.data.base if self.data.base is not None else self.data, strides=(1,))
-        h = window[at] * np.uint64(BASE)
-        if width == 16:
-            h += window[at + 8] * np.uint64(FACTORS[-1])
-        h = mix(h)
-        return np.stack([np.minimum.reduceat(h * np.uint64(f), first) for f in FACTORS[:keys]], axis=1)
+        starts, stops = self.starts[which], self.ends[which] - width + 1
+        data = self.data.base
+        window = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
+        out = np.empty((len(which), keys), np.uint64)
+        at = 0
+        while at < len(which):  # few lines at once, whose hashes stay in the processor's cache
+            to = max(at + 1, int(np.searchsorted(stops, starts[at] + SPAN, "right")))
+            base, stop = starts[at], stops[to - 1]
+            h = window[base:stop] * np.uint64(BASE)
+            if width == 16:
+                h += window[base + 8 : stop + 8] * np.uint64(FACTORS[-1])
+            h, product = mix(h), np.empty_like(h)
+            edges = np.stack([starts[at:to], stops[at:to]], axis=1).ravel()[:-1] - base  # what lies between lines is passed over
+            for k, f in enumerate(FACTORS[:keys]):
+                out[at:to, k] = np.minimum.reduceat(np.multiply(h, np.uint64(f), out=product), edges)[::2]
+            at = to
+        return out
 
     def cells(self, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The MinHashes by GRAMS of the long lines, as a flat array with offsets: longs under 0, whose last bits tell which they are."""
@@ -318,11 +336,10 @@ def joined_parts(similarity: float, radius: int):
         starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))).tolist()
         reached = reach(cell, radius)
         walks = [connecting(fps[s:e].view(np.uint64), reached[s], label[s:e], s) for s, e in zip(starts, [*starts[1:], len(cell)], strict=True)]
-        lists = [c for r in rows for c in r.column("cells").to_pylist()]
-        own = np.full((len(lists), max(map(len, lists))), NONE)
-        for k, c in enumerate(lists):
-            own[k, : len(c)] = c
-        same = Alike(Lines([t for r in rows for t in r.column("raw").to_pylist()]), similarity)
+        held = np.concatenate([pc.list_value_length(r.column("cells")).to_numpy() for r in rows])
+        own = np.full((len(held), int(held.max())), NONE)
+        own[np.arange(own.shape[1]) < held[:, None]] = np.concatenate([r.column("cells").flatten().to_numpy() for r in rows])
+        same = Alike([t for r in rows for t in r.column("raw").to_pylist()], similarity)
 
         def alike_here(i: np.ndarray, j: np.ndarray) -> np.ndarray:
             out = first_common(own, cell, i, j)
@@ -338,7 +355,7 @@ def joined_parts(similarity: float, radius: int):
             cell = batch.column("cell").to_numpy()
             starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else []
             for s, e in zip(starts, [*starts[1:], len(cell)], strict=True):
-                if held and cell[s] != now and (lines >= ABREAST or size >= TEXT_BYTES):
+                if held and cell[s] != now and (lines >= ABREAST or size >= 4 * TEXT_BYTES):
                     yield of(held)
                     held, lines, size = [], 0, 0
                 held.append(batch.slice(s, e - s))
@@ -417,7 +434,10 @@ def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
     """Texts as rows of small numbers for their characters, their lengths, and how many characters there are."""
     sizes = np.array([len(t) for t in texts], np.int64)
     flat = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
-    known, codes = np.unique(flat, return_inverse=True)
+    there = np.zeros(int(flat.max(initial=0)) + 1, bool)
+    there[flat] = True
+    known = np.flatnonzero(there)
+    codes = (np.cumsum(there, dtype=np.int32) - np.int32(1))[flat]
     out = np.zeros((len(texts), int(sizes.max(initial=0))), np.int32)
     out[np.arange(out.shape[1]) < sizes[:, None]] = codes
     return out, sizes, len(known)
@@ -440,62 +460,104 @@ def edit_distances(codes: np.ndarray, sizes: np.ndarray, letters: int, a: np.nda
     """The edit distances of rows a and b of coded texts that are not empty, all pairs at once; those over `most` as most + 1.
 
     Bit-parallel by words of 64 characters of a: a column of the table is two bits a character, and
-    what a word hands on to the next is a step up, down or neither. Every 64 columns the pairs whose
-    cell on the last diagonal, along which values only grow, is over `most` are left out.
+    what a word hands on to the next is a step up, down or neither. A word is one column behind the
+    word above it, so all words of a column's band are computed at once. A path of at most `most` edits
+    stays between the diagonals (d - most) / 2 and (d + most) / 2, where d is the difference of the
+    lengths, so only words in that band are computed: cells beyond it count as one more than their
+    neighbours within, which is never too little. Every 32 steps the pairs whose cell on the last
+    diagonal, along which values only grow, is over `most` are left out.
     """
-    words, one = -(-int(sizes[a].max()) // 64), np.uint64(1)
     most = np.maximum(sizes[a], sizes[b]) if most is None else most
+    out, pair = most + 1, np.flatnonzero(np.abs(sizes[a] - sizes[b]) <= most)
+    if not len(pair):
+        return out
+    a, b = a[pair], b[pair]
+    words, one = -(-int(sizes[a].max()) // 64), np.uint64(1)
     rows, at = np.unique(a, return_inverse=True)
     there = np.zeros((words, len(rows) * letters), np.uint64)  # where a character stands in a row
-    for i in range(int(sizes[rows].max())):
-        own = np.flatnonzero(sizes[rows] > i)
-        there[i // 64, own * letters + codes[rows[own], i]] |= one << np.uint64(i % 64)
-    out, pair, at, text = most + 1, np.arange(len(a)), at * letters, np.ascontiguousarray(codes[b].T)
-    m, n, up, down = sizes[a], sizes[b], np.full((words, len(a)), ~np.uint64(0)), np.zeros((words, len(a)), np.uint64)
-
-    def value(which: np.ndarray, row: np.ndarray, column: int) -> np.ndarray:
-        """The table's cells in these rows of a column."""
-        bits = np.clip(row - 64 * np.arange(words)[:, None], 0, 64).astype(np.uint64)
-        low = np.where(bits == 64, ~np.uint64(0), (one << (bits & np.uint64(63))) - one)
-        more, less = (np.bitwise_count(x[:, which] & low).sum(axis=0, dtype=np.int64) for x in (up, down))
-        return column + more - less
-
-    for j in range(int(n.max())):
-        if j and j % 64 == 0:
-            live = np.flatnonzero((n > j) & (value(np.arange(len(m)), np.maximum(m - n + j, 0), j) <= most[pair]))
+    down_by_size = np.argsort(-sizes[rows], kind="stable")
+    longer, text, place = sizes[rows][down_by_size], np.ascontiguousarray(codes[rows][down_by_size].T), down_by_size * letters
+    for i, own in enumerate(np.searchsorted(-longer, -np.arange(int(longer[0])), "left").tolist()):
+        there[i // 64, place[:own] + text[i, :own]] |= one << np.uint64(i % 64)
+    word = there.shape[1] * np.arange(words)[:, None]
+    there, m, n = there.ravel(), sizes[a], sizes[b]
+    text = np.ascontiguousarray(codes[b, : int(n.max())].T[::-1]) + at * letters  # the last character first
+    low_edge = int((-((most[pair] - m + n) // 2)).min())
+    high_edge = max(int(((most[pair] + m - n) // 2).max()), low_edge + 1)
+    up, down = np.full((words, len(a)), ~np.uint64(0)), np.zeros((words, len(a)), np.uint64)
+    more, less = np.ones((words + 1, len(a)), np.uint64), np.zeros((words + 1, len(a)), np.uint64)  # what a word takes over
+    score = np.full((words, len(a)), np.uint64(64))  # the cells in words' last rows
+    last, begin, end = (m - 1) // 64, 0, 0
+
+    def value(which: np.ndarray, w: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The table's cells in a row (from 1 to 64) of a word, in the column that the word is at."""
+        beyond = ~(~np.uint64(0) >> (64 - row).astype(np.uint64))
+        x, y = (np.bitwise_count(z[w, which] & beyond).astype(np.int64) for z in (up, down))
+        return score[w, which].astype(np.int64) - x + y
+
+    for t in range(1, int((n + last).max()) + 1):
+        if t % 32 == 0:
+            diagonal = t - 1 + m - n - 1  # of the step before
+            w = np.clip(diagonal // 65, begin, end - 1)
+            row = diagonal - 65 * w + 1
+            known = np.flatnonzero((row >= 1) & (row <= 65) & (t - 1 - w <= n))
+            live = n + last >= t
+            live[known] &= value(known, w[known], np.minimum(row[known], 64)) - (row[known] > 64) <= most[pair[known]]
+            live = np.flatnonzero(live)
             if not len(live):
                 break
             if len(live) < 0.9 * len(m):
-                pair, at, m, n, text, up, down = pair[live], at[live], m[live], n[live], text[:, live], up[:, live], down[:, live]
-        where = at + text[j]
-        more, less = np.ones(len(m), np.uint64), np.zeros(len(m), np.uint64)
-        for w in range(words):
-            same = there[w].take(where)
-            side = same | down[w]
-            same |= less
-            across = (((same & up[w]) + up[w]) ^ up[w]) | same
-            rise, fall = down[w] | ~(across | up[w]), up[w] & across
-            high, low = rise << one, fall << one
-            high |= more
-            low |= less
-            more, less = rise >> np.uint64(63), fall >> np.uint64(63)
-            up[w], down[w] = low | ~(side | high), high & side
-        done = np.flatnonzero(n == j + 1)
+                pair, m, n, last = pair[live], m[live], n[live], last[live]
+                text, up, down, more, less, score = (x[:, live] for x in (text, up, down, more, less, score))
+        begin = max(begin, -((64 - t - low_edge) // 65), t - len(text))
+        new = min(words, (t - 1 + high_edge) // 65 + 1, t)
+        if new > end:
+            if end:
+                score[end] += score[end - 1] - more[end] + less[end]
+            end = new
+        top = len(text) - t
+        same = there.take(text[top + begin : top + end] + word[begin:end])
+        own_up, own_down = up[begin:end], down[begin:end]
+        side = same | own_down
+        same |= less[begin:end]
+        rise = same & own_up
+        rise += own_up
+        rise ^= own_up
+        rise |= same
+        fall = own_up & rise
+        rise |= own_up
+        np.invert(rise, out=rise)
+        rise |= own_down
+        high, low = rise << one, fall << one
+        high |= more[begin:end]
+        low |= less[begin:end]
+        more[begin], less[begin] = 1, 0  # the word above hands on nothing from now on
+        np.right_shift(rise, np.uint64(63), out=more[begin + 1 : end + 1])
+        np.right_shift(fall, np.uint64(63), out=less[begin + 1 : end + 1])
+        score[begin:end] += more[begin + 1 : end + 1]
+        score[begin:end] -= less[begin + 1 : end + 1]
+        np.bitwise_and(high, side, out=own_down)
+        side |= high
+        np.invert(side, out=side)
+        np.bitwise_or(low, side, out=own_up)
+        done = np.flatnonzero(n + last == t)
         if len(done):
-            out[pair[done]] = np.minimum(value(done, m[done], j + 1), most[pair[done]] + 1)
+            out[pair[done]] = np.minimum(value(done, last[done], m[done] - 64 * last[done]), most[pair[done]] + 1)
     return out
 
 
 class Alike:
-    """alike() for many pairs of some normalised lines, by their numbers; pairs that share too few words are not alike.
+    """alike() for many pairs of some lines, normalised, by their numbers; pairs that share too few words are not alike.
 
     Lines of up to `wide` characters are compared many at once.
     """
 
-    def __init__(self, lines: Lines, similarity: float, wide: int = 1024, many: int = 1024):
-        self.texts, self.words, self.similarity, self.wide, self.many = [x.decode() for x in lines.bytes], lines.word_bits(), similarity, wide, many
+    def __init__(self, lines: list[str], similarity: float, wide: int = 8192, many: int = 2048):
+        """lines: as they stand, each with a word."""
+        owns = [(own.bytes, own.word_bits(), own.chars) for own in (Lines(lines[part]) for part in slices(pd.Series(lines, dtype=object)))]
+        self.texts, self.similarity, self.wide, self.many = [x.decode() for own in owns for x in own[0]], similarity, wide, many
+        self.words, self.sizes = np.concatenate([own[1] for own in owns]), np.concatenate([own[2] for own in owns]).astype(np.int64)
         self.held = np.bitwise_count(self.words).sum(axis=1, dtype=np.int64)
-        self.sizes = lines.chars.astype(np.int64)
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which pairs share enough words."""
@@ -519,7 +581,8 @@ class Alike:
         todo = todo[np.argsort(longer[todo], kind="stable")]
         start = 0
         while start < len(todo):
-            some = todo[start : start + self.many]
+            # lines of like length
+            some = todo[start : min(start + self.many, max(start + 16, int(np.searchsorted(longer[todo], 1.25 * longer[todo[start]] + 16))))]
             rows, at = np.unique(np.concatenate([a[some], b[some]]), return_inverse=True)
             codes, own, letters = coded([self.texts[r] for r in rows.tolist()])
             # as many pairs as tables have room for: a bit for each of a line's characters and letters
@@ -531,7 +594,7 @@ class Alike:
             out[some] = untrimmed(codes, own, x, y) <= most[some]
             rest = np.flatnonzero(~out[some])
             some, x, y = some[rest], x[rest], y[rest]
-            if letters > 512 or len(some) < 16:  # scripts of many characters, or few pairs
+            if letters > 512 or len(some) < 12:  # scripts of many characters, or few pairs
                 out[some] = [alike(self.texts[a[k]], self.texts[b[k]], self.similarity) for k in some.tolist()]
             else:
                 out[some] = edit_distances(codes, own, letters, x, y, most[some]) <= most[some]
@@ -557,9 +620,10 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
     @F.pandas_udf(T.BooleanType())
     def check(a: pd.Series, b: pd.Series) -> pd.Series:
-        own = Lines([*a, *b])
+        if not len(a):
+            return pd.Series([], dtype=bool)
         at = np.arange(len(a))
-        return pd.Series(Alike(own, similarity)(at, at + len(a)))
+        return pd.Series(Alike([*a, *b], similarity)(at, at + len(a)))
 
     return cut(pairs.join(x, "a").join(y, "b").select("a", "b", check("__x", "__y").alias("ok")))
 

@@ -205,3 +205,70 @@ def test_lines_that_meet_in_several_cells_are_compared_in_the_first():
             both = set(own[i]) & set(own[j]) - {none}
             assert [c for c in both if here(c, i, j)] == [min(both)]
     assert here(11, 0, 4) and here(11, 2, 3)
+
+
+def edited(rng, text, edits):
+    out = list(text)
+    for _ in range(edits):
+        i = rng.randrange(len(out))
+        out[i : i + rng.randrange(2)] = rng.choice(["", "x", "yz"])
+    return "".join(out) or "x"
+
+
+def test_distances_within_a_band():
+    """Limits of any size, lengths that differ, and parts that change places, next to one pair at a time."""
+    rng = random.Random(7)
+    texts = []
+    for top in (3, 60, 66, 130, 400, 1300):
+        for _ in range(8):
+            own = "".join(rng.choice("abcd ef") for _ in range(rng.randrange(1, top)))
+            at = rng.randrange(len(own))
+            texts += [own, edited(rng, own, rng.randrange(1 + len(own) // 4)), own[at:] + own[:at]]
+    codes, sizes, letters = line_dedup.coded(texts)
+    a, b = (x.ravel() for x in np.indices((len(texts), len(texts))))
+    for share in (0.02, 0.2, 0.6):
+        most = (np.maximum(sizes[a], sizes[b]) * share).astype(np.int64)
+        got = line_dedup.edit_distances(codes, sizes, letters, a, b, most)
+        some = rng.sample(range(len(a)), 300) + [i for i in range(len(a)) if a[i] // 3 == b[i] // 3]
+        assert [got[k] for k in some] == [line_dedup.edit_distance(texts[a[k]], texts[b[k]], int(most[k])) for k in some]
+
+
+def test_long_lines_are_compared_many_at_once(monkeypatch):
+    rng = random.Random(8)
+    own = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(250)) for _ in range(20)]
+    new = [edited(rng, x, n) for x, n in zip(own, [100, 500] * 10, strict=True)]
+    assert min(map(len, own)) > 1024
+    at, lines = np.arange(20), line_dedup.Alike([*own, *new], 0.8)
+    want = [similar(normal(x), normal(y)) for x, y in zip(own, new, strict=True)]
+    monkeypatch.setattr(line_dedup, "SHARED", 0)
+    monkeypatch.setattr(line_dedup, "alike", lambda *a: pytest.fail("one pair at a time"))
+    assert lines(at, at + 20).tolist() == want and 0 < sum(want) < 20
+
+
+def test_a_cell_asks_for_many_pairs_at_once():
+    """300 unlike rows: 44,850 pairs in few rounds, as each round's distances cost about the same."""
+    walk, rounds, asked = cells.connecting(np.zeros(300, np.uint64), 3, np.arange(300)), 0, 0
+    with pytest.raises(StopIteration):
+        i, j = next(walk)
+        while True:
+            rounds, asked = rounds + 1, asked + len(i)
+            i, j = walk.send(np.zeros(len(i), bool))
+    assert asked == 300 * 299 // 2 and rounds <= 10
+
+
+def test_few_bytes_are_hashed_at_once(monkeypatch):
+    """So that hashes stay in the cache; the MinHashes are those of each line alone."""
+    monkeypatch.setattr(line_dedup, "SPAN", 500)
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(5, 60))) for _ in range(50)]
+    lines, sizes, mix = line_dedup.Lines(texts), [], line_dedup.mix
+    monkeypatch.setattr(line_dedup, "mix", lambda h: sizes.append(len(h)) or mix(h))
+    which = np.flatnonzero(lines.ends - lines.starts >= 16)
+    got = lines.minhashes(16, 4, which)
+    assert max(sizes) <= 800
+    base, far, full = line_dedup.BASE, line_dedup.FACTORS[-1], (1 << 64) - 1
+    for row, k in zip(got, which.tolist(), strict=True):
+        own = lines.bytes[k]
+        whole = [int.from_bytes(own[i : i + 8], "little") * base + int.from_bytes(own[i + 8 : i + 16], "little") * far & full for i in range(len(own) - 15)]
+        h = mix(np.array(whole, np.uint64))
+        assert row.tolist() == [int((h * np.uint64(f)).min()) for f in line_dedup.FACTORS[:4]]
